@@ -83,16 +83,20 @@ def rule_publication_date(df: DataFrame) -> Column:
     )
 
 
-def source_value(df: DataFrame, run_source: str) -> Column:
+def _source_lit(run_source: str | Column) -> Column:
+    return run_source if isinstance(run_source, Column) else F.lit(run_source)
+
+
+def source_value(df: DataFrame, run_source: str | Column) -> Column:
     """VAL7: the run's source only when the key is absent."""
-    return F.when(_present(df, "source"), clean_text(_raw(df, "source"))).otherwise(F.lit(run_source))
+    return F.when(_present(df, "source"), clean_text(_raw(df, "source"))).otherwise(_source_lit(run_source))
 
 
-def rule_source(df: DataFrame, run_source: str) -> Column:
+def rule_source(df: DataFrame, run_source: str | Column) -> Column:
     return F.when(source_value(df, run_source).isNull(), F.lit(fixed.MSG_STR_TYPE))
 
 
-def validate(raw: DataFrame, run_source: str = fixed.DEFAULT_SOURCE,
+def validate(raw: DataFrame, run_source: str | Column = fixed.DEFAULT_SOURCE,
              ingested_at: Column | None = None) -> DataFrame:
     """VAL8: typed canonical columns + ``error_message`` (null when valid).
 
@@ -126,7 +130,7 @@ def validate(raw: DataFrame, run_source: str = fixed.DEFAULT_SOURCE,
     raw_cols = [
         _raw(raw, f).alias("raw_" + f) for f in fixed.CANONICAL_FIELDS if f in raw.columns
     ]
-    extra = [F.col(c) for c in ("_keys", "_pos") if c in raw.columns]
+    extra = [F.col(c) for c in ("_keys", "_pos", "_landed_at", "_dl_id") if c in raw.columns]
     return raw.select(*typed, error.alias("error_message"), *raw_cols, *extra)
 
 
@@ -135,22 +139,47 @@ def valid_rows(validated: DataFrame) -> DataFrame:
     return validated.filter(F.col("error_message").isNull()).select(*BRONZE_COLUMNS)
 
 
-def raw_payload(validated: DataFrame) -> Column:
-    """Original record as JSON text (only keys the record carried)."""
-    fields = [c for c in validated.columns if c.startswith("raw_")]
-    return F.to_json(F.struct(*[F.col(c).alias(c[4:]) for c in fields]))
-
+def raw_payload(validated: DataFrame, run_source: str | Column) -> Column:
+    """Original record as JSON text, nulls kept, ``source`` defaulted.
 
-def dead_letters(validated: DataFrame, run_source: str = fixed.DEFAULT_SOURCE,
+    Only keys the record carried are written, so a re-read can tell a
+    missing key from an explicit null (``json_object_keys``).
+    """
+    fields = [c for c in validated.columns if c.startswith("raw_")]
+    present = {c[4:]: _present(validated, c[4:]).alias(c[4:]) for c in fields}
+    pairs = []
+    for c in fields:
+        name = c[4:]
+        value = F.col(c)
+        if name == "source":
+            value = F.when(present[name], value).otherwise(_source_lit(run_source))
+            keep = F.lit(True)
+        else:
+            keep = _present(validated, name) if "_keys" in validated.columns else F.lit(True)
+        pairs.append(F.when(keep, F.struct(F.lit(name).alias("k"), value.alias("v"))))
+    if "raw_source" not in validated.columns:
+        pairs.append(F.struct(F.lit("source").alias("k"), _source_lit(run_source).alias("v")))
+    entries = F.filter(F.array(*pairs), lambda e: e.isNotNull())
+    return F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
+
+
+def dead_letter_id(run_source: str | Column, pos: Column) -> Column:
+    """Reproducible dead-letter key from the run source and record position."""
+    digest = F.substring(F.md5(F.concat(_source_lit(run_source), F.lit(":"), pos.cast("string"))), 1, 15)
+    return F.conv(digest, 16, 10).cast("bigint")
+
+
+def dead_letters(validated: DataFrame, run_source: str | Column = fixed.DEFAULT_SOURCE,
                  created_at: Column | None = None) -> DataFrame:
     """VAL8 / SNK2: failures with payload, first error and retry state."""
-    created_at = created_at if created_at is not None else F.current_timestamp()
+    if created_at is None:
+        created_at = F.col("_landed_at") if "_landed_at" in validated.columns else F.current_timestamp()
     bad = validated.filter(F.col("error_message").isNotNull())
-    key_col = F.col("_pos") if "_pos" in bad.columns else F.monotonically_increasing_id()
+    pos = F.col("_pos") if "_pos" in bad.columns else F.monotonically_increasing_id()
     return bad.select(
-        F.xxhash64(F.lit(run_source), raw_payload(bad), key_col).alias("id"),
-        F.lit(run_source).alias("source"),
-        raw_payload(bad).alias("raw_data"),
+        dead_letter_id(run_source, pos).alias("id"),
+        _source_lit(run_source).alias("source"),
+        raw_payload(bad, run_source).alias("raw_data"),
         "error_message",
         F.lit(False).alias("resolved"),
         F.lit(0).alias("retry_count"),
@@ -159,14 +188,14 @@ def dead_letters(validated: DataFrame, run_source: str = fixed.DEFAULT_SOURCE,
     )
 
 
-def ingest_summary(validated: DataFrame, run_source: str) -> DataFrame:
+def ingest_summary(validated: DataFrame, run_source: str | Column) -> DataFrame:
     """VAL9: fetched / valid / invalid counts in one aggregation."""
     return validated.agg(
         F.count(F.lit(1)).alias("fetched"),
         F.count_if(F.col("error_message").isNull()).alias("valid"),
         F.count_if(F.col("error_message").isNotNull()).alias("invalid"),
     ).select(
-        F.lit(run_source).alias("source"),
+        _source_lit(run_source).alias("source"),
         F.when(F.col("fetched") > 0, F.lit("success")).otherwise(F.lit("empty")).alias("status"),
         "fetched", "valid", "invalid",
     )

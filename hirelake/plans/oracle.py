@@ -206,3 +206,41 @@ gold_skill AS (
 ),
 gold_role AS (SELECT role, published_month, count(*) AS job_count FROM silver GROUP BY ALL),
 gold_time AS (SELECT published_month, count(*) AS job_count FROM silver GROUP BY ALL)"""
+
+
+def rules_sql(id_: str, url: str, title: str, company: str, source: str) -> str:
+    """First validation error of a record given its raw field expressions."""
+    return f"""COALESCE(
+      CASE WHEN {id_} IS NULL THEN '{fixed.MSG_INT_TYPE}'
+           WHEN TRY_CAST({_strip(id_)} AS BIGINT) IS NULL THEN '{fixed.MSG_INT_PARSE}'
+           WHEN TRY_CAST({_strip(id_)} AS BIGINT) <= 0 THEN '{fixed.MSG_GT_ZERO}' END,
+      CASE WHEN {url} IS NULL THEN '{fixed.MSG_STR_TYPE}'
+           WHEN {_strip(url)} = '' THEN '{fixed.MSG_STR_SHORT}'
+           WHEN NOT regexp_matches({_strip(url)}, '^https?://') THEN '{fixed.MSG_URL_PREFIX}' END,
+      CASE WHEN {_clean(title)} IS NULL THEN '{fixed.MSG_BLANK}' END,
+      CASE WHEN {_clean(company)} IS NULL THEN '{fixed.MSG_BLANK}' END,
+      CASE WHEN {_clean(source)} IS NULL THEN '{fixed.MSG_STR_TYPE}' END)"""
+
+
+DEAD = f"""
+dead AS (
+  SELECT ('0x' || substr(md5('{fixed.DEFAULT_SOURCE}:' || CAST(v._pos AS VARCHAR)), 1, 15))::BIGINT AS id,
+         '{fixed.DEFAULT_SOURCE}' AS source, v.error_message, false AS resolved, 0 AS retry_count,
+         r._landed_at AS created_at, CAST(NULL AS TIMESTAMP) AS resolved_at,
+         r.id AS p_id, r.url AS p_url, r.title AS p_title, r.company_name AS p_company, r.source AS p_source
+  FROM validated v JOIN raw r ON r._pos = v._pos
+  WHERE v.error_message IS NOT NULL
+),
+retry AS (
+  SELECT *,
+    {rules_sql('p_id', 's_url', 'p_title', 'p_company', 'p_source')} AS retry_error
+  FROM (SELECT *, CASE WHEN p_url IS NOT NULL AND p_url <> '' AND NOT starts_with(p_url, 'http://')
+                        AND NOT starts_with(p_url, 'https://') THEN 'https://' || ltrim(p_url, '/')
+                       ELSE p_url END AS s_url
+        FROM dead WHERE NOT resolved)
+)"""
+
+
+def with_dead(body: str) -> str:
+    """CTE chain up to bronze plus the dead letters and their retry."""
+    return "WITH " + ",".join([RAW, VALIDATED, BRONZE, SILVER, GOLD, DEAD]) + "\n" + body
