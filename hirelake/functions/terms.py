@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
+from hirelake.functions.text import py_strip
 
 # (?U): word boundaries follow Unicode letters, as Python's ``re`` does.
 _TERM_RE = "(?U)" + fixed.TERM_PATTERN
@@ -30,7 +31,7 @@ def job_terms(tags: Column, title: Column) -> Column:
 
 def skill_set(skills: Column) -> Column:
     """Subscription skills: strip + lower, drop blanks, distinct."""
-    cleaned = F.transform(F.coalesce(skills, F.array().cast("array<string>")), lambda s: F.lower(F.trim(s)))
+    cleaned = F.transform(F.coalesce(skills, F.array().cast("array<string>")), lambda s: F.lower(py_strip(s)))
     return F.array_distinct(F.filter(cleaned, lambda s: s != ""))
 
 

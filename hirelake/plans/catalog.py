@@ -389,3 +389,5 @@ def q_transform_summary(spark, sf):
         "gold_role_trends": G.gold_role_trends(sv),
         "gold_time_trends": G.gold_time_trends(sv),
     })
+
+from hirelake.plans import catalog_match  # noqa: E402,F401

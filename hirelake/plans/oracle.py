@@ -28,7 +28,7 @@ def _contains_any(x: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({x}, '{w}')" for w in words) + ")"
 
 
-RAW = f"""
+RAW = """
 items AS (
   SELECT l_orderkey, min(l_partkey) AS p1, max(l_partkey) AS p2, min(l_suppkey) AS s1
   FROM lineitem GROUP BY l_orderkey
@@ -58,8 +58,8 @@ raw AS (
     s_name AS company_name,
     CAST(NULL AS VARCHAR) AS company_logo,
     p_type AS category,
-    CASE WHEN k % 3 = 0 THEN '[''' || p_brand || ''', ''' || p_type || ''', ''' || q_brand || ''', ''' || lower(q_type) || ''']'
-         WHEN k % 3 = 1 THEN p_brand || ', ' || p_type || ',' || q_brand || ' ,' || q_type END AS tags,
+    CASE WHEN k % 3 = 0 THEN '[''' || p_brand || ''', ''' || p_type || ''', ''' || q_brand || ''', ''' || lower(q_type) || ''', ''' || _skill || ''']'
+         WHEN k % 3 = 1 THEN p_brand || ', ' || p_type || ',' || q_brand || ' ,' || q_type || ', ' || _skill END AS tags,
     CASE WHEN k % 7 = 0 THEN 'part_time' ELSE 'full_time' END AS job_type,
     strftime(od, '%Y-%m-%dT%H:%M:%SZ') AS publication_date,
     CASE WHEN cust % 7 = 0 THEN 'Worldwide'
@@ -78,9 +78,11 @@ raw AS (
     ['remotive', 'remoteok', 'arbeitnow', 'jsearch'][(k % 4) + 1] AS source,
     CAST(od AS TIMESTAMP) + INTERVAL 1 DAY AS _landed_at,
     k AS _pos
-  FROM base
+  FROM (SELECT *, upper([{skills}][(k % {nsk}) + 1]) AS _skill FROM base)
 )"""
 
+RAW = RAW.replace("{skills}", _sql_list(fixed.SKILL_KEYWORDS)).replace("{nsk}", str(len(fixed.SKILL_KEYWORDS)))
+
 # Tags: list text or CSV -> strip each, drop quotes of list items, lower,
 # drop blanks, order-preserving distinct.
 _TAG_ITEMS = (
@@ -244,3 +246,104 @@ retry AS (
 def with_dead(body: str) -> str:
     """CTE chain up to bronze plus the dead letters and their retry."""
     return "WITH " + ",".join([RAW, VALIDATED, BRONZE, SILVER, GOLD, DEAD]) + "\n" + body
+
+
+def _ascii_words(x: str) -> str:
+    """Non-ASCII letters and digits become '_' so RE2's ASCII ``\\b`` sees
+    word characters where Python and Java (Unicode mode) do."""
+    return (f"regexp_replace(regexp_replace({x}, '[^\\x00-\\x7F\\P{{L}}]', '_', 'g'), "
+            f"'[^\\x00-\\x7F\\P{{N}}]', '_', 'g')")
+
+
+_TERM_RX = "\\b[a-zA-Z0-9+#\\-\\.]+\\b"
+
+RESUMES = f"""
+resume_docs AS (
+  SELECT d.doc_id, concat_ws(' ', p.p_name, [{_sql_list(fixed.TECH_TERMS)}][(d.doc_id % {len(fixed.TECH_TERMS)}) + 1],
+                             'developer.', d.text) AS text
+  FROM documents d LEFT JOIN part p ON p.p_partkey = d.doc_id % (SELECT count(*) FROM part)
+),
+res_tok AS (
+  SELECT doc_id, unnest(toks) AS t, generate_subscripts(toks, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all({_ascii_words('lower(text)')}, '{_TERM_RX}', 0) AS toks FROM resume_docs)
+),
+res_kept AS (
+  SELECT doc_id, t, min(pos) AS p FROM res_tok
+  WHERE t NOT IN ({_sql_list(fixed.RESUME_STOPWORDS)})
+    AND (length(t) > 1 OR t IN ({_sql_list(fixed.SHORT_TERMS_KEPT)}))
+  GROUP BY doc_id, t
+),
+res_rank AS (
+  SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS rn FROM res_kept
+),
+resume_skills AS (
+  SELECT d.doc_id AS resume_id,
+         coalesce(list(r.t ORDER BY r.rn) FILTER (WHERE r.t IS NOT NULL), []::VARCHAR[]) AS skills
+  FROM resume_docs d LEFT JOIN (SELECT * FROM res_rank WHERE rn <= {fixed.RESUME_MAX_SKILLS}) r ON r.doc_id = d.doc_id
+  GROUP BY d.doc_id
+),
+job_terms AS (
+  SELECT id AS job_id, title, publication_date,
+    list_filter(list_concat(list_transform(tags, lambda x: lower(x)), regexp_extract_all(lower(title), '{_TERM_RX}', 0)),
+                lambda x, i: list_position(list_concat(list_transform(tags, lambda y: lower(y)),
+                                                       regexp_extract_all(lower(title), '{_TERM_RX}', 0)), x) = i) AS terms
+  FROM bronze
+),
+candidates AS (
+  SELECT b.id AS job_id, b.title, b.publication_date FROM bronze b
+  ORDER BY b.publication_date DESC, b.id LIMIT {fixed.CANDIDATE_JOBS}
+),
+cand_terms AS (
+  SELECT DISTINCT c.job_id, unnest(j.terms) AS term FROM candidates c JOIN job_terms j ON j.job_id = c.job_id
+),
+resume_pairs AS (
+  SELECT r.resume_id, ct.job_id, count(*) AS overlap
+  FROM (SELECT resume_id, unnest(skills) AS term FROM resume_skills) r
+  JOIN cand_terms ct ON ct.term = r.term
+  GROUP BY r.resume_id, ct.job_id
+),
+scored AS (
+  SELECT p.resume_id, p.job_id, c.publication_date, p.overlap AS score,
+         CAST(floor(p.overlap / len(s.skills) * 100) AS INTEGER) AS match_percent
+  FROM resume_pairs p JOIN resume_skills s ON s.resume_id = p.resume_id
+  JOIN candidates c ON c.job_id = p.job_id
+  WHERE p.overlap > 0
+)"""
+
+
+def with_resumes(body: str) -> str:
+    return "WITH " + ",".join([RAW, VALIDATED, BRONZE, SILVER, RESUMES]) + "\n" + body
+
+
+SUBSCRIPTIONS = """
+sub_ev AS (
+  SELECT e.event_id, e.ts,
+    CASE WHEN e.event_type = 'signup' THEN 'subscribe' ELSE 'unsubscribe' END AS action,
+    '  User' || CAST(e.user_id AS VARCHAR) || '@Example.com ' AS email,
+    ' user ' || CAST(e.user_id AS VARCHAR) AS name,
+    CASE WHEN kk % 10 = 0 THEN []::VARCHAR[]
+         WHEN kk % 10 = 1 THEN ['  ']
+         ELSE list_transform(string_split(p.p_name, ' '), lambda w: ' ' || upper(w)) END AS skills
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS kk FROM events
+        WHERE event_type IN ('signup', 'error')) e
+  LEFT JOIN part p ON p.p_partkey = e.kk
+),
+subs AS (
+  SELECT
+    arg_min(event_id, (ts, event_id)) FILTER (WHERE action = 'subscribe') AS id,
+    arg_max(trim(name), (ts, event_id)) FILTER (WHERE action = 'subscribe') AS name,
+    lower(trim(email)) AS email,
+    arg_max(list_filter(list_transform(skills, lambda s: lower(trim(s))), lambda s: s <> ''), (ts, event_id))
+      FILTER (WHERE action = 'subscribe') AS skills,
+    arg_max(action, (ts, event_id)) = 'subscribe' AS active,
+    arg_min(ts, (ts, event_id)) FILTER (WHERE action = 'subscribe') AS created_at
+  FROM sub_ev GROUP BY lower(trim(email))
+  HAVING count(*) FILTER (WHERE action = 'subscribe') > 0
+)"""
+
+
+def with_subs(body: str, extra: str = "") -> str:
+    ctes = [RAW, VALIDATED, BRONZE, SILVER, SUBSCRIPTIONS]
+    if extra:
+        ctes.append(extra)
+    return "WITH " + ",".join(ctes) + "\n" + body

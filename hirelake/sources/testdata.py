@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.functions import fixed
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -101,13 +103,18 @@ def _posting_columns() -> list[Column]:
     )
     title = F.concat(prefix, F.col("p_name"), F.lit(" "), F.col("p_type"), F.lit(" engineer"))
     q = F.lit("'")
+    skill = F.upper(F.element_at(
+        F.array(*[F.lit(w) for w in fixed.SKILL_KEYWORDS]),
+        (F.pmod(k, F.lit(len(fixed.SKILL_KEYWORDS))) + 1).cast("int"),
+    ))
     list_text = F.concat(
         F.lit("["), q, F.col("p_brand"), q, F.lit(", "), q, F.col("p_type"), q, F.lit(", "),
-        q, F.col("q_brand"), q, F.lit(", "), q, F.lower(F.col("q_type")), q, F.lit("]"),
+        q, F.col("q_brand"), q, F.lit(", "), q, F.lower(F.col("q_type")), q, F.lit(", "),
+        q, skill, q, F.lit("]"),
     )
     csv_text = F.concat(
         F.col("p_brand"), F.lit(", "), F.col("p_type"), F.lit(","), F.col("q_brand"),
-        F.lit(" ,"), F.col("q_type"),
+        F.lit(" ,"), F.col("q_type"), F.lit(", "), skill,
     )
     mod6 = F.pmod(k, F.lit(6))
     salary = (
@@ -154,9 +161,27 @@ def _posting_columns() -> list[Column]:
 
 
 def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Résumés: whole document texts, keyed by ``resume_id``."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("resume_id"), F.col("text").alias("resume_text")
+    """Résumés: one per document - a headline naming a part and a technology,
+    then the whole document text.
+
+    The headline uses part ``doc_id % count(part)`` and dictionary term
+    ``doc_id % 21`` so résumés share terms with posting titles and tags.
+    """
+    docs = table(spark, sf_dir, "documents")
+    part = table(spark, sf_dir, "part")
+    n_parts = part.select(F.count(F.lit(1))).scalar()
+    names = part.select(F.col("p_partkey").alias("_pk"), "p_name")
+    tech = F.element_at(
+        F.array(*[F.lit(w) for w in fixed.TECH_TERMS]),
+        (F.pmod(F.col("doc_id"), F.lit(len(fixed.TECH_TERMS))) + 1).cast("int"),
+    )
+    return (
+        docs.withColumn("_pk", F.pmod(F.col("doc_id"), n_parts))
+        .join(names, "_pk", "left")
+        .select(
+            F.col("doc_id").alias("resume_id"),
+            F.concat_ws(" ", F.col("p_name"), tech, F.lit("developer."), F.col("text")).alias("resume_text"),
+        )
     )
 
 
