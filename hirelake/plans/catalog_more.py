@@ -221,3 +221,151 @@ def q_gold_skill_trends_json(spark, sf):
     """AGG3: skills unnested from a JSON-array text column."""
     sv = S.silver_jobs_sql(L.bronze(spark, sf)).withColumn("tags", F.to_json("tags"))
     return G.gold_skill_trends_json(sv)
+
+
+# --- scalar operators, one key each (VAL1-VAL7, SIL1-SIL7, SRC6, SRC7) ----------------
+
+@register("clean_text", O.with_layers(
+    "SELECT id, company_logo, category, job_type, candidate_required_location, salary FROM validated",
+    upto="validated"))
+def q_clean_text(spark, sf):
+    """VAL1 on the optional text fields of every raw posting."""
+    return L.validated(spark, sf).select("id", "company_logo", "category", "job_type",
+                                         "candidate_required_location", "salary")
+
+
+def _raw_rule_sql(expr: str) -> str:
+    return O.with_layers(f"SELECT _pos, {expr} AS rule_error FROM raw", upto="validated")
+
+
+@register("rule_required_text", _raw_rule_sql(
+    f"CASE WHEN nullif(regexp_replace(title, '^\\s+|\\s+$', '', 'g'), '') IS NULL THEN '{fixed.MSG_BLANK}' END"))
+def q_rule_required_text(spark, sf):
+    """VAL2 on titles."""
+    raw = L.raw(spark, sf)
+    return raw.select("_pos", V.rule_required_text(raw, "title").alias("rule_error"))
+
+
+@register("rule_id", _raw_rule_sql(
+    f"CASE WHEN TRY_CAST(id AS BIGINT) <= 0 THEN '{fixed.MSG_GT_ZERO}' END"))
+def q_rule_id(spark, sf):
+    """VAL3."""
+    raw = L.raw(spark, sf)
+    return raw.select("_pos", V.rule_id(raw).alias("rule_error"))
+
+
+@register("rule_url", _raw_rule_sql(
+    f"CASE WHEN url = '' THEN '{fixed.MSG_STR_SHORT}' WHEN NOT regexp_matches(url, '^https?://') "
+    f"THEN '{fixed.MSG_URL_PREFIX}' END"))
+def q_rule_url(spark, sf):
+    """VAL4."""
+    raw = L.raw(spark, sf)
+    return raw.select("_pos", V.rule_url(raw).alias("rule_error"))
+
+
+@register("normalize_tags", O.with_layers(
+    "SELECT _pos, list_filter(_tag_list, lambda x, i: list_position(_tag_list, x) = i) AS tags FROM validated",
+    upto="validated"))
+def q_normalize_tags(spark, sf):
+    """VAL5 on list-text, CSV and null tags."""
+    raw = L.raw(spark, sf)
+    return raw.select("_pos", P.normalize_tags(F.col("tags")).alias("tags"))
+
+
+@register("normalize_pubdate", O.with_layers("SELECT _pos, publication_date FROM validated", upto="validated"))
+def q_normalize_pubdate(spark, sf):
+    """VAL6."""
+    raw = L.raw(spark, sf)
+    return raw.select("_pos", P.parse_iso_timestamp(F.col("publication_date")).alias("publication_date"))
+
+
+@register("default_source", O.with_layers(
+    "SELECT _pos, 'all' AS source, " + O.rules_sql("id", "url", "title", "company_name", "'all'")
+    + " AS error_message FROM raw", upto="validated"))
+def q_default_source(spark, sf):
+    """VAL7: records without a source key take the run's source ('all')."""
+    v = V.validate(L.raw(spark, sf).drop("source"), "all")
+    return v.select("_pos", "source", "error_message")
+
+
+def _bronze_proj_sql(cols: str) -> str:
+    return O.with_layers(f"SELECT job_id AS id, {cols} FROM silver")
+
+
+@register("normalize_role", _bronze_proj_sql("role"))
+def q_normalize_role(spark, sf):
+    """SIL1."""
+    return L.bronze(spark, sf).select("id", enrich.normalize_role(F.col("title")).alias("role"))
+
+
+@register("infer_country", _bronze_proj_sql("country"))
+def q_infer_country(spark, sf):
+    """SIL2."""
+    return L.bronze(spark, sf).select("id", enrich.infer_country(F.col("candidate_required_location")).alias("country"))
+
+
+@register("salary_currency", O.with_layers(
+    "SELECT id, CASE WHEN _stext IS NULL THEN NULL WHEN contains(_stext, '€') OR contains(upper(_stext), 'EUR') THEN 'EUR' "
+    "WHEN contains(_stext, '£') OR contains(upper(_stext), 'GBP') THEN 'GBP' ELSE 'USD' END AS currency FROM sal"))
+def q_salary_currency(spark, sf):
+    """SIL3 on the salary text (or description head)."""
+    t = enrich.salary_text(F.col("salary"), F.col("description"))
+    return L.bronze(spark, sf).select("id", F.when(t.isNotNull(), enrich.salary_currency_of(t)).alias("currency"))
+
+
+@register("salary_is_hourly", O.with_layers("SELECT id, _hourly AS hourly FROM sal2"))
+def q_salary_is_hourly(spark, sf):
+    """SIL4."""
+    t = enrich.salary_text(F.col("salary"), F.col("description"))
+    return L.bronze(spark, sf).select("id", enrich.salary_is_hourly(t).alias("hourly"))
+
+
+@register("parse_salary", _bronze_proj_sql("salary_min, salary_max, salary_currency"))
+def q_parse_salary(spark, sf):
+    """SIL5."""
+    return L.bronze(spark, sf).select(
+        "id", enrich.parse_salary(F.col("salary"), F.col("description")).alias("s")).select(
+        "id", "s.salary_min", "s.salary_max", "s.salary_currency")
+
+
+@register("classify_seniority", _bronze_proj_sql("seniority"))
+def q_classify_seniority(spark, sf):
+    """SIL6 (title + whole description)."""
+    return L.bronze(spark, sf).select(
+        "id", enrich.classify_seniority(F.col("title"), F.col("description")).alias("seniority"))
+
+
+@register("date_grains", _bronze_proj_sql("published_date, published_month"))
+def q_date_grains(spark, sf):
+    """SIL7."""
+    ts = F.col("publication_date")
+    return L.bronze(spark, sf).select(
+        "id", enrich.published_date(ts).alias("published_date"), enrich.published_month(ts).alias("published_month"))
+
+
+_KW_RX = "\\b(" + "|".join(fixed.SKILL_KEYWORDS) + ")\\b"
+
+
+@register("extract_skill_keywords", O.with_resumes(
+    "SELECT resume_id, list_filter(kw, lambda x, i: list_position(kw, x) = i) AS keywords FROM ("
+    "SELECT doc_id AS resume_id, flatten(list_transform(string_split(text, '.'), lambda q: "
+    f"regexp_extract_all({O._ascii_words('lower(q)')}, '{_KW_RX}', 1))) AS kw FROM resume_docs)"))
+def q_extract_skill_keywords(spark, sf):
+    """SRC6: qualification keywords, qualifications = sentences of each résumé."""
+    from hirelake.sources import testdata as TD
+    r = TD.resumes(spark, sf)
+    quals = F.split(F.col("resume_text"), "[.]", -1)
+    return r.select("resume_id", T.qualification_keywords(quals).alias("keywords"))
+
+
+@register("stable_id", O.with_layers(
+    "SELECT id, (('0x' || substr(md5('remoteok:' || CAST(id AS VARCHAR)), 1, 15))::BIGINT % 1000000000) "
+    "+ 500000000 AS remoteok_id, (('0x' || substr(md5('jsearch:' || CAST(id AS VARCHAR)), 1, 15))::BIGINT "
+    "% 1000000000) + 2500000000 AS jsearch_id FROM bronze"))
+def q_stable_id(spark, sf):
+    """SRC7: namespaced reproducible ids."""
+    return L.bronze(spark, sf).select(
+        "id",
+        T.stable_id("remoteok", F.col("id"), fixed.ID_OFFSET_REMOTEOK).alias("remoteok_id"),
+        T.stable_id("jsearch", F.col("id"), fixed.ID_OFFSET_JSEARCH).alias("jsearch_id"),
+    )
