@@ -1,0 +1,56 @@
+"""Synthetic postings (SRC12) from the fixed vocabulary.
+
+Choices are seeded, reproducible hashes of the posting id (md5-based so
+any SQL engine can recompute them); one row per input id, so the volume is
+whatever id frame is passed in.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from hirelake.functions import fixed
+
+
+def pick(seed: str, key: Column, field: str, n: int) -> Column:
+    """Reproducible choice in ``[0, n)`` for ``key`` (first 8 hex digits of md5)."""
+    digest = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"), F.lit(f":{field}"))), 1, 8)
+    return F.pmod(F.conv(digest, 16, 10).cast("bigint"), F.lit(n))
+
+
+def _choose(values: list, idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+
+def synthetic_jobs(ids: DataFrame, id_col: str = "id", seed: str = "42") -> DataFrame:
+    """CSV-shaped raw postings, one per row of ``ids`` (ids start at 1001)."""
+    i = F.col(id_col)
+    job_id = F.lit(fixed.SYNTHETIC_FIRST_ID - 1) + i + 1
+    role = pick(seed, i, "role", len(fixed.SYNTHETIC_ROLES))
+    days = pick(seed, i, "days", fixed.SYNTHETIC_DAYS_BACK + 1)
+    secs = pick(seed, i, "secs", 86401)
+    pub = (F.lit(fixed.SYNTHETIC_BASE_TIME).cast("timestamp")
+           - F.make_interval(days=days.cast("int"), secs=secs.cast("int")))
+    tags_text = _choose(
+        ["[" + ", ".join(f"'{t}'" for t in r[2]) + "]" for r in fixed.SYNTHETIC_ROLES], role)
+    return ids.select(
+        job_id.cast("string").alias("id"),
+        F.concat(F.lit("https://example.com/jobs/"), job_id.cast("string")).alias("url"),
+        _choose([r[0] for r in fixed.SYNTHETIC_ROLES], role).alias("title"),
+        _choose(fixed.SYNTHETIC_COMPANIES, pick(seed, i, "company", len(fixed.SYNTHETIC_COMPANIES))).alias("company_name"),
+        F.concat(F.lit("https://logo.com/"),
+                 (pick(seed, i, "logo", fixed.SYNTHETIC_LOGOS) + 1).cast("string")).alias("company_logo"),
+        _choose([r[1] for r in fixed.SYNTHETIC_ROLES], role).alias("category"),
+        tags_text.alias("tags"),
+        F.when(pick(seed, i, "type", 100) < fixed.SYNTHETIC_PART_TIME_PERCENT, F.lit("part_time"))
+        .otherwise(F.lit("full_time")).alias("job_type"),
+        F.date_format(pub, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("publication_date"),
+        _choose(fixed.SYNTHETIC_LOCATIONS, pick(seed, i, "location", len(fixed.SYNTHETIC_LOCATIONS))).alias(
+            "candidate_required_location"),
+        _choose(fixed.SYNTHETIC_SALARIES, pick(seed, i, "salary", len(fixed.SYNTHETIC_SALARIES))).alias("salary"),
+        F.concat(F.lit("Exciting opportunity for a "), _choose([r[0] for r in fixed.SYNTHETIC_ROLES], role),
+                 F.lit(" at "),
+                 _choose(fixed.SYNTHETIC_COMPANIES, pick(seed, i, "company", len(fixed.SYNTHETIC_COMPANIES))),
+                 F.lit(". Join our remote team!")).alias("description"),
+    )
