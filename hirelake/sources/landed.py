@@ -28,11 +28,16 @@ ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 
 
 def _records(df: DataFrame, array_col: str) -> DataFrame:
-    """Explode an envelope array of JSON-text records with file order."""
+    """Explode an envelope array of JSON-text records with landing order.
+
+    Order is (file, line, position): ``monotonically_increasing_id`` grows
+    with the line within a file, ``posexplode`` gives the position.
+    """
     return df.select(
         F.col("_metadata.file_path").alias("_file"),
-        F.posexplode(array_col).alias("_idx", "_rec"),
-    )
+        F.monotonically_increasing_id().alias("_line"),
+        F.col(array_col),
+    ).select("_file", "_line", F.posexplode(array_col).alias("_idx", "_rec"))
 
 
 def _as_raw(recs: DataFrame) -> DataFrame:
@@ -53,7 +58,7 @@ def src_envelope(spark: SparkSession, path: str, category: str | None = None,
     raw = _as_raw(_records(read_envelope(spark, path, "jobs"), "jobs"))
     if category:
         raw = raw.filter(F.col("category") == category)
-    return raw.orderBy("_file", "_idx").limit(limit) if limit else raw
+    return raw.orderBy("_file", "_line", "_idx").limit(limit) if limit else raw
 
 
 def first_wins(df: DataFrame, key: Column | str, order: list[Column | str]) -> DataFrame:
@@ -87,7 +92,7 @@ def src_category_union(spark: SparkSession, fetch_paths: list[str]) -> DataFrame
         df = df.unionByName(p)
     idl = F.col("id").try_cast("bigint")
     df = df.filter(F.col("id").isNotNull() & (F.coalesce(idl, F.lit(1)) != 0) & (F.col("id") != ""))
-    return first_wins(df, "id", ["_fetch", "_file", "_idx"])
+    return first_wins(df, "id", ["_fetch", "_file", "_line", "_idx"])
 
 
 def _epoch_or_text(v: Column) -> Column:
@@ -137,7 +142,7 @@ def norm_remoteok(spark: SparkSession, path: str) -> DataFrame:
         F.col("salary"),
         F.col("description"),
         F.lit("remoteok").alias("source"),
-        "_file", "_idx",
+        "_file", F.lit(0).cast("long").alias("_line"), "_idx",
     )
 
 
@@ -149,8 +154,9 @@ ARBEITNOW_SCHEMA = ("slug: STRING, title: STRING, company_name: STRING, company_
 def norm_arbeitnow(spark: SparkSession, path: str) -> DataFrame:
     """SRC4: paged ``{"data": [...]}`` source -> canonical raw postings."""
     pages = spark.read.schema(f"data ARRAY<STRUCT<{ARBEITNOW_SCHEMA}>>").json(path)
-    df = pages.select(F.col("_metadata.file_path").alias("_file"), F.posexplode("data").alias("_idx", "j")).select(
-        "_file", "_idx", "j.*")
+    df = pages.select(F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"),
+                      "data").select("_file", "_line", F.posexplode("data").alias("_idx", "j")).select(
+        "_file", "_line", "_idx", "j.*")
     slug = F.coalesce(_truthy(F.col("slug")), F.col("title"), F.lit("unknown"))
     tags = _tag_list(F.col("tags"))
     types = F.col("job_types")
@@ -170,7 +176,7 @@ def norm_arbeitnow(spark: SparkSession, path: str) -> DataFrame:
         F.lit(None).cast("string").alias("salary"),
         F.col("description"),
         F.lit("arbeitnow").alias("source"),
-        "_file", "_idx",
+        "_file", "_line", "_idx",
     )
 
 
@@ -188,12 +194,14 @@ def norm_jsearch(spark: SparkSession, query_paths: list[str]) -> DataFrame:
     for q, path in enumerate(query_paths):
         pages = spark.read.schema(f"data ARRAY<STRUCT<{JSEARCH_SCHEMA}>>").json(path)
         parts.append(pages.select(F.lit(q).alias("_query"), F.col("_metadata.file_path").alias("_file"),
-                                  F.posexplode("data").alias("_idx", "j")).select("_query", "_file", "_idx", "j.*"))
+                                  F.monotonically_increasing_id().alias("_line"), "data")
+                     .select("_query", "_file", "_line", F.posexplode("data").alias("_idx", "j"))
+                     .select("_query", "_file", "_line", "_idx", "j.*"))
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p)
     df = df.filter(F.col("job_id").isNotNull() & (F.col("job_id") != ""))
-    df = first_wins(df, "job_id", ["_query", "_file", "_idx"])
+    df = first_wins(df, "job_id", ["_query", "_file", "_line", "_idx"])
     tags = T.qualification_keywords(F.col("job_highlights.Qualifications"))
     # Salaries are read as their JSON token text, so the text is what
     # Python's f-string would print for the parsed number; 0 and null are falsy.
@@ -220,7 +228,7 @@ def norm_jsearch(spark: SparkSession, query_paths: list[str]) -> DataFrame:
         salary.alias("salary"),
         F.col("job_description").alias("description"),
         F.lit("jsearch").alias("source"),
-        "_file", "_idx",
+        "_file", "_line", "_idx",
     )
 
 
@@ -242,6 +250,7 @@ def src_csv(spark: SparkSession, path: str) -> DataFrame:
         .csv(path)
         .select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in CSV_COLUMNS])
         .withColumn("_file", F.col("_metadata.file_path"))
+        .withColumn("_line", F.lit(0).cast("long"))
         .withColumn("_idx", F.monotonically_increasing_id())
     )
 
@@ -261,8 +270,9 @@ def merge_sources(sources: dict[str, DataFrame]) -> DataFrame:
         df = df.unionByName(p, allowMissingColumns=True)
     key = F.when(F.coalesce(F.col("url"), F.lit("")) == "",
                  F.concat(F.lit("\u0000"), F.col("_prio").cast("string"), F.lit(":"), F.col("_file"),
-                          F.lit(":"), F.col("_idx").cast("string"))).otherwise(F.col("url"))
-    return first_wins(df, key, ["_prio", "_file", "_idx"])
+                          F.lit(":"), F.col("_line").cast("string"), F.lit(":"), F.col("_idx").cast("string"))
+                 ).otherwise(F.col("url"))
+    return first_wins(df, key, ["_prio", "_file", "_line", "_idx"])
 
 
 def path_has_data(spark: SparkSession, path: str) -> bool:
