@@ -393,3 +393,4 @@ def q_transform_summary(spark, sf):
 from hirelake.plans import catalog_match  # noqa: E402,F401
 from hirelake.plans import catalog_more  # noqa: E402,F401
 from hirelake.plans import catalog_sources  # noqa: E402,F401
+from hirelake.plans import catalog_jobs  # noqa: E402,F401
