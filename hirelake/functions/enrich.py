@@ -54,17 +54,18 @@ def salary_is_hourly(text: Column) -> Column:
     return text.rlike("(?iU)" + fixed.HOURLY_PATTERN)
 
 
-def parse_salary(salary: Column, description: Column) -> Column:
-    """SIL5: ``struct(salary_min, salary_max, salary_currency)``.
+def salary_values(text: Column, hourly: Column | None = None) -> Column:
+    """SIL5 core: scaled, range-filtered numbers found in ``text`` (array<double>).
 
-    All number tokens are extracted with one regex pass, scaled (k-suffix,
-    hourly x2000), range-filtered and reduced with ``array_min``/``array_max``.
+    One regex pass per capture group; k-suffix x1000, hourly values below
+    1000 x2000, then only 10,000..1,000,000 are kept.
     """
-    text = salary_text(salary, description)
     pattern = "(?U)" + fixed.SALARY_PATTERN
     nums = F.regexp_extract_all(text, F.lit(pattern), 1)
     ks = F.regexp_extract_all(text, F.lit(pattern), 2)
-    hourly = salary_is_hourly(text)
+    # Pass ``hourly`` as a column when staging: inside the lambda an
+    # expression would be re-evaluated (interpreted) for every number found.
+    hourly = salary_is_hourly(text) if hourly is None else hourly
 
     def scale(pair: Column) -> Column:
         base = F.regexp_replace(pair["n"], ",", "").cast("double")
@@ -72,10 +73,14 @@ def parse_salary(salary: Column, description: Column) -> Column:
         return F.when(hourly & (with_k < 1000.0), with_k * fixed.HOURLY_FACTOR).otherwise(with_k)
 
     zipped = F.arrays_zip(nums.alias("n"), ks.alias("k"))
-    values = F.filter(
+    return F.filter(
         F.transform(zipped, scale),
         lambda v: (v >= fixed.SALARY_MIN_VALID) & (v <= fixed.SALARY_MAX_VALID),
     )
+
+
+def salary_from_values(values: Column, text: Column) -> Column:
+    """``struct(salary_min, salary_max, salary_currency)`` from computed values."""
     has = F.size(values) > 0
     return F.struct(
         F.when(has, F.array_min(values)).alias("salary_min"),
@@ -84,9 +89,18 @@ def parse_salary(salary: Column, description: Column) -> Column:
     )
 
 
-def classify_seniority(title: Column, description: Column) -> Column:
-    """SIL6: substring keywords on lower(title + ' ' + description)."""
-    text = F.lower(F.concat(title, F.lit(" "), F.coalesce(description, F.lit(""))))
+def parse_salary(salary: Column, description: Column) -> Column:
+    """SIL5 as one expression (for ad-hoc use; ``silver_jobs`` stages it)."""
+    text = salary_text(salary, description)
+    return salary_from_values(salary_values(text), text)
+
+
+def seniority_text(title: Column, description: Column) -> Column:
+    return F.lower(F.concat(title, F.lit(" "), F.coalesce(description, F.lit(""))))
+
+
+def seniority_of(text: Column) -> Column:
+    """SIL6 on an already lower-cased text."""
     return (
         F.when(contains_any(text, fixed.SENIORITY_LEAD), F.lit("Lead"))
         .when(contains_any(text, fixed.SENIORITY_SENIOR), F.lit("Senior"))
@@ -95,6 +109,11 @@ def classify_seniority(title: Column, description: Column) -> Column:
     )
 
 
+def classify_seniority(title: Column, description: Column) -> Column:
+    """SIL6: substring keywords on lower(title + ' ' + description)."""
+    return seniority_of(seniority_text(title, description))
+
+
 def published_date(ts: Column) -> Column:
     """SIL7: calendar day in UTC (session time zone is pinned to UTC)."""
     return F.to_date(ts)

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
-from hirelake.functions.text import py_strip
+from hirelake.functions.text import present, py_strip
 
 # (?U): word boundaries follow Unicode letters, as Python's ``re`` does.
 _TERM_RE = "(?U)" + fixed.TERM_PATTERN
@@ -58,11 +58,24 @@ def qualification_keywords(quals: Column) -> Column:
 
 
 def dictionary_terms(text: Column, terms: list[str] | None = None) -> Column:
-    """REC6: dictionary terms found whole-word in lower(text), dictionary order."""
+    """REC6: dictionary terms found whole-word in lower(text), dictionary order.
+
+    A term made of word characters occurs whole-word exactly when it is one
+    of the text's maximal word-character runs, so the text is tokenised once
+    (``\\w+``, Unicode, the same word definition ``\\b`` uses) and terms are
+    looked up in the distinct tokens.  A multi-word term keeps a regex check,
+    run only when a plain substring test has already found it.
+    """
     terms = terms or fixed.TECH_TERMS
     low = F.lower(text)
-    hits = [F.when(low.rlike("(?U)\\b" + re.escape(t) + "\\b"), F.lit(t)) for t in terms]
-    return F.filter(F.array(*hits), lambda t: t.isNotNull())
+    words = F.array_distinct(F.regexp_extract_all(low, F.lit("(?U)\\w+"), 0))
+    hits = []
+    for t in terms:
+        if re.fullmatch(r"\w+", t):
+            hits.append(F.array_contains(words, F.lit(t)))
+        else:
+            hits.append(low.contains(t) & low.rlike("(?U)\\b" + re.escape(t) + "\\b"))
+    return present([F.when(h, F.lit(t)) for h, t in zip(hits, terms)])
 
 
 def stable_id(namespace: str, key: Column, offset: int) -> Column:

@@ -21,26 +21,34 @@ SILVER_COLUMNS = [
 
 
 def silver_jobs(bronze: DataFrame) -> DataFrame:
-    """SIL8: one enriched row per bronze posting."""
+    """SIL8: one enriched row per bronze posting.
+
+    Three stacked projections (Catalyst keeps them apart because the
+    staged expressions are used several times and are not cheap): the
+    salary text and the lower-cased seniority text are computed once, the
+    salary value array once, then the final columns read them.
+    """
     ts = F.col("publication_date")
-    return bronze.select(
-        F.col("id").alias("job_id"),
-        "source",
-        "title",
-        "company_name",
-        "category",
+    staged = bronze.select(
+        F.col("id").alias("job_id"), "source", "title", "company_name", "category",
         enrich.normalize_role(F.col("title")).alias("role"),
         enrich.infer_country(F.col("candidate_required_location")).alias("country"),
         F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"),
         ts.alias("publication_date"),
         enrich.published_date(ts).alias("published_date"),
         enrich.published_month(ts).alias("published_month"),
-        enrich.parse_salary(F.col("salary"), F.col("description")).alias("_sal"),
-        enrich.classify_seniority(F.col("title"), F.col("description")).alias("seniority"),
-    ).select(
+        enrich.salary_text(F.col("salary"), F.col("description")).alias("_stext"),
+        enrich.seniority_text(F.col("title"), F.col("description")).alias("_stitle"),
+    )
+    staged = staged.select("*", enrich.salary_is_hourly(F.col("_stext")).alias("_hourly"))
+    valued = staged.select("*", enrich.salary_values(F.col("_stext"), F.col("_hourly")).alias("_vals"))
+    sal = enrich.salary_from_values(F.col("_vals"), F.col("_stext"))
+    return valued.select(
         "job_id", "source", "title", "company_name", "category", "role", "country",
         "tags", "publication_date", "published_date", "published_month",
-        "_sal.salary_min", "_sal.salary_max", "_sal.salary_currency", "seniority",
+        sal["salary_min"].alias("salary_min"), sal["salary_max"].alias("salary_max"),
+        sal["salary_currency"].alias("salary_currency"),
+        enrich.seniority_of(F.col("_stitle")).alias("seniority"),
     )
 
 

@@ -27,6 +27,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used before a frame is both counted (size checks, hot keys) and joined,
+    so its lineage is computed once and a lost executor re-reads stored
+    files instead of recomputing upstream stages.
+    """
+    from hirelake.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan over at least one task per core.
+
+    A few large files (or one small file holding long texts) can give a scan
+    fewer partitions than there are cores; the CPU-heavy text work after it
+    then runs in a handful of tasks.  Only in that case the rows are spread
+    round-robin; a scan over many files is returned unchanged.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys holding at least ``min_rows`` rows (pre-aggregated, map-side)."""
     return (

@@ -394,3 +394,23 @@ from hirelake.plans import catalog_match  # noqa: E402,F401
 from hirelake.plans import catalog_more  # noqa: E402,F401
 from hirelake.plans import catalog_sources  # noqa: E402,F401
 from hirelake.plans import catalog_jobs  # noqa: E402,F401
+
+
+@register("dl_mark_resolved", O.with_dead(
+    f"SELECT d.id, TIMESTAMP '{AS_OF}' AS resolved_at FROM dead d JOIN retry r ON r.id = d.id "
+    "WHERE r.retry_error IS NULL"))
+def q_dl_mark_resolved(spark, sf):
+    """DL4: dead letters marked resolved by one backfill pass."""
+    dead = _dead(spark, sf)
+    out = DL.apply_outcome(dead, DL.retry(dead, None), _as_of())
+    return out.filter(F.col("resolved")).select("id", "resolved_at")
+
+
+@register("dl_increment_retry", O.with_dead(
+    "SELECT d.id, d.retry_count + 1 AS retry_count FROM dead d JOIN retry r ON r.id = d.id "
+    "WHERE r.retry_error IS NOT NULL"))
+def q_dl_increment_retry(spark, sf):
+    """DL5: dead letters still invalid after one backfill pass, one more retry counted."""
+    dead = _dead(spark, sf)
+    out = DL.apply_outcome(dead, DL.retry(dead, None), _as_of())
+    return out.filter(F.col("retry_count") > 0).select("id", "retry_count")

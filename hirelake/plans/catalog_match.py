@@ -271,3 +271,33 @@ def q_alert_digest(spark, sf):
 def q_alert_preview(spark, sf):
     """ALR6 for every subscriber."""
     return A.alert_preview(C.subscription_state(TD.subscription_events(spark, sf)), _jobs(spark, sf))
+
+
+@register("skill_overlap", O.with_subs(
+    "SELECT m.sub_id, m.job_id, len(list_intersect(d.skills, j.terms)) AS overlap "
+    "FROM matches m JOIN due d ON d.id = m.sub_id JOIN jt j ON j.job_id = m.job_id", ALERT_SQL))
+def q_skill_overlap(spark, sf):
+    """SET3: size of the skill / term intersection of every alert match."""
+    from hirelake.functions import terms as T
+    from hirelake.operators.matching import skill_overlap
+    due = A.alert_due(_alert_subs(spark, sf), _as_of())
+    jobs = _jobs(spark, sf)
+    m = A.alert_match(due, jobs)
+    s = due.select(F.col("id").alias("sub_id"), T.skill_set(F.col("skills")).alias("_skills"))
+    j = jobs.select(F.col("id").alias("job_id"), T.job_terms(F.col("tags"), F.col("title")).alias("_terms"))
+    return m.join(s, "sub_id").join(j, "job_id").select(
+        "sub_id", "job_id", skill_overlap(F.col("_skills"), F.col("_terms")).alias("overlap"))
+
+
+@register("match_tier", O.with_resumes(
+    "SELECT resume_id, job_id, match_percent, "
+    f"CASE WHEN match_percent >= {fixed.TIER_STRONG} THEN 'strong' WHEN match_percent >= {fixed.TIER_GOOD} "
+    "THEN 'good' ELSE 'weak' END AS tier FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY resume_id ORDER BY score DESC, match_percent DESC, "
+    "publication_date DESC, job_id) AS rank FROM scored) WHERE rank <= 10"))
+def q_match_tier(spark, sf):
+    """REC5: tier of every recommended posting."""
+    skills = M.resume_skill_frame(TD.resumes(spark, sf))
+    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), L.silver(spark, sf)))
+    return M.recommend_top_n(scored, 10).select(
+        "resume_id", "job_id", "match_percent", M.match_tier(F.col("match_percent")).alias("tier"))

@@ -65,7 +65,11 @@ def run_transformations(spark: SparkSession, t: Tables, flavour: str = "python")
     """
     bronze = sinks.read_table(spark, t.path("bronze_jobs"))
     builder = S.silver_jobs if flavour == "python" else S.silver_jobs_sql
-    silver_path = sinks.write_table(builder(bronze), t.path("silver_jobs"))
+    # Silver is laid out by month (partition pruning for month filters); the
+    # rebalance hint lets AQE split a month that holds a large share of rows
+    # into several files instead of one task writing it.
+    silver_df = builder(bronze).hint("rebalance", "published_month")
+    silver_path = sinks.write_table(silver_df, t.path("silver_jobs"), partition_by=["published_month"])
     silver = spark.read.parquet(silver_path)
     gold = {}
     for name, fn in GOLD_TABLES.items():

@@ -299,9 +299,18 @@ def source_fallback(spark: SparkSession, primary: Callable[[], DataFrame], prima
     return fixed.FALLBACK_SOURCE, src_csv(spark, fallback_csv).withColumn("source", F.lit(fixed.FALLBACK_SOURCE))
 
 
+# --- fixed values: source names with their own reader ------------------------
+RESOLVABLE_SOURCES = ["kaggle", "all", "jsearch"]
+
+
 def source_resolve(name: str) -> str:
     """SRC11: source name -> reader key (unknown names read the default source)."""
-    return name if name in ("kaggle", "all", "jsearch") else fixed.DEFAULT_SOURCE
+    return name if name in RESOLVABLE_SOURCES else fixed.DEFAULT_SOURCE
+
+
+def source_resolve_col(name: Column) -> Column:
+    """SRC11 as a column expression (for a column of requested source names)."""
+    return F.when(name.isin(*RESOLVABLE_SOURCES), name).otherwise(F.lit(fixed.DEFAULT_SOURCE))
 
 
 def scan_layer(spark: SparkSession, path: str) -> DataFrame:

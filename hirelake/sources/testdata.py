@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
+from hirelake.operators.strategy import ensure_parallelism
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -37,9 +38,14 @@ def _s(c: Column) -> Column:
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings: all fields as text, plus ``_landed_at`` and ``_pos``."""
+    # Hash-partition orders by key into the session's shuffle width: the
+    # lineitem join needs exactly this exchange, and an explicit partition
+    # count keeps the posting rows spread over that many tasks even when the
+    # order table is one small file and the later joins are broadcasts.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
+    ).repartition(parts, "o_orderkey")
     items = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
@@ -167,7 +173,7 @@ def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     The headline uses part ``doc_id % count(part)`` and dictionary term
     ``doc_id % 21`` so résumés share terms with posting titles and tags.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = ensure_parallelism(table(spark, sf_dir, "documents"))
     part = table(spark, sf_dir, "part")
     n_parts = part.select(F.count(F.lit(1))).scalar()
     names = part.select(F.col("p_partkey").alias("_pk"), "p_name")
