@@ -32,14 +32,15 @@ def q_resume_skills(spark, sf):
 @register("candidate_jobs", O.with_resumes("SELECT job_id AS id, title, publication_date FROM candidates"))
 def q_candidate_jobs(spark, sf):
     """REC2: the 2000 newest postings."""
-    return M.candidate_jobs(L.bronze(spark, sf), L.silver(spark, sf)).select("id", "title", "publication_date")
+    return M.candidate_jobs(L.bronze(spark, sf)).select("id", "title", "publication_date")
 
 
 @register("resume_match", O.with_resumes("SELECT resume_id, job_id, overlap FROM resume_pairs"))
 def q_resume_match(spark, sf):
     """JN5 / SET3: shared-term counts of résumés x candidate postings."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    return M.resume_match(skills, M.candidate_jobs(L.bronze(spark, sf), L.silver(spark, sf)))
+    return M.resume_match(skills, M.candidate_jobs(L.bronze(spark, sf))).select(
+        "resume_id", "job_id", "overlap")
 
 
 @register("score_jobs", O.with_resumes(
@@ -47,7 +48,7 @@ def q_resume_match(spark, sf):
 def q_score_jobs(spark, sf):
     """REC3."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), L.silver(spark, sf)))
+    return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)))
 
 
 @register("recommend_top_n", O.with_resumes(
@@ -59,7 +60,7 @@ def q_score_jobs(spark, sf):
 def q_recommend_top_n(spark, sf):
     """REC4 + REC5: ten best postings per résumé with their match tier."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), L.silver(spark, sf)))
+    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)))
     return M.recommend_top_n(scored, 10).withColumn("tier", M.match_tier(F.col("match_percent")))
 
 
@@ -190,9 +191,15 @@ def _alert_subs(spark, sf):
 
 
 def _jobs(spark, sf):
+    """Postings with silver display columns (digest only)."""
     return SV.jobs_enriched(L.bronze(spark, sf), L.silver(spark, sf))
 
 
+def _postings(spark, sf):
+    """Postings for matching: bronze columns only (no enrichment needed)."""
+    return L.bronze(spark, sf)
+
+
 ALERT_SQL = f"""
 asubs AS (SELECT id, name, email, skills, active, created_at, {_LAST_SENT} AS last_sent_at FROM subs),
 due AS (
@@ -220,7 +227,7 @@ def q_alert_due(spark, sf):
 def q_alert_match(spark, sf):
     """ALR2 / JN4 over all due subscribers."""
     due = A.alert_due(_alert_subs(spark, sf), _as_of())
-    return A.alert_match(due, _jobs(spark, sf))
+    return A.alert_match(due, _postings(spark, sf))
 
 
 @register("alert_summary", O.with_subs(
@@ -232,7 +239,7 @@ def q_alert_match(spark, sf):
 def q_alert_summary(spark, sf):
     """ALR4."""
     due = A.alert_due(_alert_subs(spark, sf), _as_of())
-    return A.alert_summary(due, A.alert_match(due, _jobs(spark, sf)))
+    return A.alert_summary(due, A.alert_match(due, _postings(spark, sf)))
 
 
 @register("alert_advance_state", O.with_subs(
@@ -259,8 +266,7 @@ def q_alert_advance_state(spark, sf):
 def q_alert_digest(spark, sf):
     """ALR3."""
     due = A.alert_due(_alert_subs(spark, sf), _as_of())
-    jobs = _jobs(spark, sf)
-    return A.alert_digest(A.alert_match(due, jobs), jobs)
+    return A.alert_digest(A.alert_match(due, _postings(spark, sf)), _jobs(spark, sf))
 
 
 @register("alert_preview", O.with_subs(
@@ -270,7 +276,7 @@ def q_alert_digest(spark, sf):
     "ON (len(s.skills) = 0) OR len(list_intersect(s.skills, j.terms)) > 0) WHERE rank <= 5", ALERT_SQL))
 def q_alert_preview(spark, sf):
     """ALR6 for every subscriber."""
-    return A.alert_preview(C.subscription_state(TD.subscription_events(spark, sf)), _jobs(spark, sf))
+    return A.alert_preview(C.subscription_state(TD.subscription_events(spark, sf)), _postings(spark, sf))
 
 
 @register("skill_overlap", O.with_subs(
@@ -281,7 +287,7 @@ def q_skill_overlap(spark, sf):
     from hirelake.functions import terms as T
     from hirelake.operators.matching import skill_overlap
     due = A.alert_due(_alert_subs(spark, sf), _as_of())
-    jobs = _jobs(spark, sf)
+    jobs = _postings(spark, sf)
     m = A.alert_match(due, jobs)
     s = due.select(F.col("id").alias("sub_id"), T.skill_set(F.col("skills")).alias("_skills"))
     j = jobs.select(F.col("id").alias("job_id"), T.job_terms(F.col("tags"), F.col("title")).alias("_terms"))
@@ -298,6 +304,6 @@ def q_skill_overlap(spark, sf):
 def q_match_tier(spark, sf):
     """REC5: tier of every recommended posting."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), L.silver(spark, sf)))
+    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)))
     return M.recommend_top_n(scored, 10).select(
         "resume_id", "job_id", "match_percent", M.match_tier(F.col("match_percent")).alias("tier"))
