@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of materialised intermediates are removed once the
+    # DataFrame that owns them is garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
