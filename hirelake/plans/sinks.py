@@ -41,7 +41,7 @@ def current_path(spark: SparkSession, root: str) -> str | None:
     return f"{root}/v={vs[-1]}" if vs else None
 
 
-def read_table(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame | None:
+def read_table(spark: SparkSession, root: str) -> DataFrame | None:
     """Newest complete version of a table, or None when it has none."""
     path = current_path(spark, root)
     if path is None:
@@ -86,14 +86,13 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, key: str = "id",
                         for c in cols])
 
 
-def append_new(df: DataFrame, root: str, key: str = "id") -> int:
+def append_new(df: DataFrame, root: str, key: str = "id") -> None:
     """SNK2: append rows whose key is not yet stored (idempotent on retries)."""
     spark = df.sparkSession
     if path_has_data(spark, root):
         stored = spark.read.parquet(root).select(key)
         df = df.join(stored, key, "left_anti")
     df.write.mode("append").parquet(root)
-    return 0
 
 
 def csv_export(df: DataFrame, path: str) -> None:
