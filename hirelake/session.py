@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if master and master.startswith("local"):
+        # One machine: its own temporary folder is shared by all threads.
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hirelake-ckpt-"))
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -45,19 +49,14 @@ def pin_session(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+    """Shared folder for written intermediates: ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system; it is only set here
-    when absent (local tests), and then to a fresh folder under /tmp.
+    Where that is unset the warehouse folder is used: every executor of a
+    session must reach it anyway.  A machine-local folder is never made up.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="hirelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
