@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import jaccard_join
+from hirelake.llm import jaccard_join, secrets
+from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +28,14 @@ def register(name: str, sql: str | None = None):
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets reach Jaccard 0.85."""
     return jaccard_join.jaccard_components(C.table(spark, sf_dir, "documents"), jaccard_join.Rule(k=4, num=85, den=100))
+
+
+@register("op7_secret_scan", secrets.oracle_sql())
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, scanned once per distinct text."""
+    found = secrets.scan(C.table(spark, sf_dir, "documents"), scratch_path(spark, "blob-ledger"))
+    for k in secrets.KINDS:
+        found = found.withColumn(f"n_{k.name}", F.expr(f"cast(size(filter(spans, s -> s.kind = '{k.name}')) as long)"))
+    listed = secrets.listed(F.col("spans"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(listed, 256).alias("base_sha256"),
+                        listed.alias("spans"))
