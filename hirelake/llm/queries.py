@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import jaccard_join, secrets
+from hirelake.llm import jaccard_join, packing, secrets, sharding
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,20 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = secrets.listed(F.col("spans"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(listed, 256).alias("base_sha256"),
                         listed.alias("spans"))
+
+
+@register("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 ids."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    parts = packing.pieces(C.table(spark, sf_dir, "documents"), tokenizer, capacity=4096, end_id=1)
+    parts = C.stored(parts.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return packing.packed(parts, ["doc_id", "piece"], capacity=4096)
+
+
+@register("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 23 of near equal bytes, equal texts together."""
+    out = sharding.sharded(C.table(spark, sf_dir, "documents"), shards=24, overhead=8)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "group_rows")
