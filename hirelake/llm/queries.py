@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import jaccard_join, packing, secrets, sharding
+from hirelake.llm import decontaminate, jaccard_join, langid, packing, secrets, sharding
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,17 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.sharded(C.table(spark, sf_dir, "documents"), shards=24, overhead=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"), "group_rows")
+
+
+@register("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned where crc32(doc_id) mod 4 is not 2."""
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = C.table(spark, sf_dir, "documents").withColumn("held_out", held)
+    return langid.predict(docs, langid.fit(docs.filter(~F.col("held_out"))), ["doc_id", "held_out"])
+
+
+@register("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of a benchmark item in a document, with its edits."""
+    return decontaminate.matches(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
