@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import decontaminate, jaccard_join, langid, packing, secrets, sharding
+from hirelake.llm import decontaminate, jaccard_join, langid, packing, secrets, sharding, warc
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of a benchmark item in a document, with its edits."""
     return decontaminate.matches(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_warc")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record per page, written to archives and read back."""
+    return warc.round_trip(C.table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
