@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import decontaminate, jaccard_join, langid, packing, secrets, sharding, warc
+from hirelake.llm import ann, decontaminate, jaccard_join, langid, packing, secrets, sharding, warc
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written to archives and read back."""
     return warc.round_trip(C.table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    return ann.nearest(C.table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
