@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import ann, decontaminate, jaccard_join, langid, packing, secrets, sharding, warc
+from hirelake.llm import ann, decontaminate, jaccard_join, langid, lmscore, packing, secrets, sharding, warc
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found of every vector whose id is divisible by 20."""
     return ann.nearest(C.table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", k=20)
+
+
+@register("op6_lm_score")
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document; target: labelled good."""
+    docs = C.table(spark, sf_dir, "documents")
+    good = C.table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lmscore.score(docs, lmscore.fit(docs, good))
