@@ -175,12 +175,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of every word of a block; words end at ASCII space."""
+def word_spans(buf: np.ndarray, off: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every word of a block; bytes marked in ``between``
+    (ASCII space) stand between words."""
     if not len(buf):
         z = np.zeros(0, np.int64)
         return z, z, z
-    inside = ~SPACE[buf]
+    inside = ~between[buf]
     first = np.zeros(len(buf) + 1, bool)  # a row's first byte begins a new word
     first[off[:-1]] = True
     before = np.empty(len(buf), bool)
@@ -194,14 +195,18 @@ def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(off, starts, "right") - 1
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, heads: tuple[int, ...] = ()):
     """64-bit hash of every word, A-Z as a-z: a polynomial over random byte
-    numbers, read off one running sum."""
+    numbers, read off one running sum.  With ``heads``, also a list of hashes
+    of the words' first so many bytes."""
     up, down = _powers(len(buf) + 1)
     total = np.empty(len(buf) + 1, U)
     total[0] = 0
     np.cumsum(_BYTE[buf] * up[: len(buf)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U) * _STEP)
+    span = lambda e: mix64((total[e] - total[starts]) * down[starts] + (e - starts).astype(U) * _STEP)
+    if heads:
+        return span(ends), [span(np.minimum(starts + n, ends)) for n in heads]
+    return span(ends)
 
 
 def shingles(words: np.ndarray, row: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:

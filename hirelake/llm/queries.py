@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import ann, decontaminate, jaccard_join, langid, lmscore, packing, secrets, sharding, warc
+from hirelake.llm import ann, decontaminate, jaccard_join, langid, lmscore, packing, secrets, sharding, toxicity, warc
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,13 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents")
     good = C.table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
     return lmscore.score(docs, lmscore.fit(docs, good))
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities of every document; toxic from 0.5 on."""
+    docs, labels = C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels")
+    names = ["low_quality", "toxic"]
+    chain = toxicity.fit(docs, labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic"), names)
+    out = toxicity.score(docs, chain, categories=names)
+    return out.withColumn("toxic", F.coalesce(F.col("p_toxic") >= 0.5, F.lit(False)))
