@@ -24,12 +24,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs)
     if not model.langs:
         return docs
-    names = [c for c in docs.columns]
-    marked = langid.predict(docs, model, names)
-    pred, score = marked.columns[-2:]
-    flat = marked.toDF(*[f"c{i}" for i in range(len(names))], "_pred", "_score")
-    kept = flat.filter((F.col("_pred") != langid.UNDETERMINED) & (F.col("_score") >= MIN_SCORE))
-    return kept.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no clash with the added columns
+    marked = langid.predict(docs.toDF(*names), model, names, text_col=names[docs.columns.index("text")])
+    kept = marked.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE))
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
