@@ -133,6 +133,32 @@ def _probability(w: np.ndarray, at: np.ndarray, row: np.ndarray, extra: np.ndarr
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _trainer(name: str, before: list[str], size: int):
+    """Fit one category's model without the fold ``out`` and predict that fold;
+    ``out`` = FOLDS fits on all and returns the weights."""
+    before = list(before)
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = int(pdf["out"].iloc[0])
+        many = pdf["feats"].map(len).to_numpy()
+        at = np.concatenate([*pdf["feats"], np.zeros(0)]).astype(np.int64)
+        row = np.repeat(np.arange(len(pdf)), many)
+        extra = pdf[before].to_numpy(float).reshape(len(pdf), len(before))
+        use = (pdf["fold"] != out).to_numpy()
+        if not use.any():
+            use[:] = True
+        renumber = np.cumsum(use) - 1
+        inside = use[row]
+        w = _logistic(at[inside], renumber[row[inside]], extra[use], pdf[name].to_numpy()[use], size)
+        if out == FOLDS:
+            return pd.DataFrame({"out": out, "id": np.arange(len(w)), "value": w})
+        rest = (pdf["fold"] == out).to_numpy()
+        p = _probability(w, at, row, extra, size)[rest]
+        return pd.DataFrame({"out": out, "id": pdf["id"].to_numpy()[rest], "value": p})
+
+    return train
+
+
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id",
         text_col: str = "text") -> Chain | None:
     """The chain, in the order of ``categories``; None if nothing is labelled."""
@@ -166,24 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
         # one copy of the bounded sample per fold that is left out, and one whole
         copies = rows.withColumn("out", F.explode(F.sequence(F.lit(0), F.lit(FOLDS))))
 
-        def train(pdf: pd.DataFrame, name=name, before=tuple(before)) -> pd.DataFrame:
-            out = int(pdf["out"].iloc[0])
-            many = pdf["feats"].map(len).to_numpy()
-            at = np.concatenate([*pdf["feats"], np.zeros(0)]).astype(np.int64)
-            row = np.repeat(np.arange(len(pdf)), many)
-            extra = pdf[list(before)].to_numpy(float).reshape(len(pdf), len(before))
-            use = (pdf["fold"] != out).to_numpy()
-            if not use.any():
-                use[:] = True
-            renumber = np.cumsum(use) - 1
-            inside = use[row]
-            w = _logistic(at[inside], renumber[row[inside]], extra[use], pdf[name].to_numpy()[use], size)
-            if out == FOLDS:
-                return pd.DataFrame({"out": out, "id": np.arange(len(w)), "value": w})
-            p = _probability(w, at, row, extra, size)[~use]
-            return pd.DataFrame({"out": out, "id": pdf["id"].to_numpy()[~use], "value": p})
-
-        got = C.stored(copies.groupBy("out").applyInPandas(train, "out int, id long, value double"), "fits")
+        got = C.stored(copies.groupBy("out").applyInPandas(_trainer(name, before, size), "out int, id long, value double"), "fits")
         whole = got.filter(F.col("out") == FOLDS).toPandas().sort_values("id")
         weights.append(whole["value"].to_numpy())
         column = f"_p{len(before)}"
