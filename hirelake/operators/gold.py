@@ -46,12 +46,6 @@ def gold_time_trends(silver: DataFrame) -> DataFrame:
     return _count_by(silver, "published_month")
 
 
-def ordered(df: DataFrame, key: str | None) -> DataFrame:
-    """Reference row order of the gold tables: month, then key."""
-    cols = ["published_month"] + ([key] if key else [])
-    return df.orderBy(*cols)
-
-
 def transform_summary(bronze: DataFrame, silver: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
     """AGG6: row count of every layer table, one row per table."""
     parts = [bronze.select(F.lit("bronze_jobs").alias("table_name"), F.count(F.lit(1)).alias("row_count")),

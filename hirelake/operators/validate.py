@@ -130,7 +130,7 @@ def validate(raw: DataFrame, run_source: str | Column = fixed.DEFAULT_SOURCE,
     raw_cols = [
         _raw(raw, f).alias("raw_" + f) for f in fixed.CANONICAL_FIELDS if f in raw.columns
     ]
-    extra = [F.col(c) for c in ("_keys", "_pos", "_landed_at", "_dl_id") if c in raw.columns]
+    extra = [F.col(c) for c in ("_keys", "_pos", "_file", "_idx", "_landed_at", "_dl_id") if c in raw.columns]
     return raw.select(*typed, error.alias("error_message"), *raw_cols, *extra)
 
 
@@ -163,27 +163,47 @@ def raw_payload(validated: DataFrame, run_source: str | Column) -> Column:
     return F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"})
 
 
-def dead_letter_id(run_source: str | Column, pos: Column) -> Column:
-    """Reproducible dead-letter key from the run source and record position."""
-    digest = F.substring(F.md5(F.concat(_source_lit(run_source), F.lit(":"), pos.cast("string"))), 1, 15)
-    return F.conv(digest, 16, 10).cast("bigint")
+def dead_letter_id(run_source: str | Column, origin: Column, nth: Column, payload: Column) -> Column:
+    """Reproducible dead-letter key from the record's origin and content.
+
+    ``nth`` tells records apart that are equal in both.  The same landed
+    record gets the same key in every run, so a replay adds nothing, and
+    another record or file gets another key, so a later run loses nothing.
+    """
+    text = F.concat_ws("|", _source_lit(run_source), origin, nth.cast("string"), payload)
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def dead_letters(validated: DataFrame, run_source: str | Column = fixed.DEFAULT_SOURCE,
                  created_at: Column | None = None) -> DataFrame:
-    """VAL8 / SNK2: failures with payload, first error and retry state."""
+    """VAL8 / SNK2: failures with payload, first error and retry state.
+
+    The origin is the landed file and the place in its envelope, or the given
+    row key ``_pos``.  Equal failures of one origin are counted (one partial
+    aggregation, so a record that fails a million times is reduced in every
+    map task) and numbered; each keeps a row of its own.
+    """
     if created_at is None:
         created_at = F.col("_landed_at") if "_landed_at" in validated.columns else F.current_timestamp()
     bad = validated.filter(F.col("error_message").isNotNull())
-    pos = F.col("_pos") if "_pos" in bad.columns else F.monotonically_increasing_id()
-    return bad.select(
-        dead_letter_id(run_source, pos).alias("id"),
-        _source_lit(run_source).alias("source"),
-        raw_payload(bad, run_source).alias("raw_data"),
-        "error_message",
+    if "_file" in bad.columns:
+        origin = F.concat_ws("#", "_file", F.col("_idx").cast("string"))
+    elif "_pos" in bad.columns:
+        origin = F.col("_pos").cast("string")
+    else:
+        origin = F.lit("")
+    same = bad.select(
+        _source_lit(run_source).alias("source"), origin.alias("_origin"),
+        raw_payload(bad, run_source).alias("raw_data"), "error_message",
+        created_at.cast("timestamp").alias("created_at"),
+    ).groupBy("source", "_origin", "raw_data", "error_message").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("created_at").alias("created_at"))
+    return same.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(
+        dead_letter_id(F.col("source"), F.col("_origin"), F.col("_nth"), F.col("raw_data")).alias("id"),
+        "source", "raw_data", "error_message",
         F.lit(False).alias("resolved"),
         F.lit(0).alias("retry_count"),
-        created_at.cast("timestamp").alias("created_at"),
+        "created_at",
         F.lit(None).cast("timestamp").alias("resolved_at"),
     )
 

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from hirelake.plans import layers as L
 from hirelake.plans import oracle as O
+from hirelake.plans import sinks
 from hirelake.operators import serving as SV
 from hirelake.operators import validate as V
+from hirelake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,8 +261,7 @@ def q_salary_kpis(spark, sf):
 
 
 @register("skill_options", O.with_layers(
-    "SELECT DISTINCT skill FROM (SELECT * FROM gold_skill ORDER BY published_month DESC, job_count DESC, "
-    "skill LIMIT 100) ORDER BY skill", upto="gold"))
+    "SELECT DISTINCT skill FROM gold_skill ORDER BY skill", upto="gold"))
 def q_skill_options(spark, sf):
     return SV.skill_options(L.gold(spark, sf, "skill"))
 
@@ -281,10 +282,14 @@ def _dead(spark, sf):
 
 
 @register("dead_letter_append", O.with_dead(
-    "SELECT id, source, error_message, resolved, retry_count, created_at, resolved_at FROM dead"))
+    "SELECT id, source, raw_data, error_message, resolved, retry_count, created_at, resolved_at FROM dead"))
 def q_dead_letter_append(spark, sf):
-    """SNK2: dead-letter rows as appended (payload JSON left out of the check)."""
-    return _dead(spark, sf).drop("raw_data")
+    """SNK2: half of the letters appended, then all of them; each is stored once."""
+    path = scratch_path(spark, "dead-letters")
+    dead = _dead(spark, sf)
+    sinks.append_new(dead.filter("id % 2 = 0"), path)
+    sinks.append_new(dead, path)
+    return spark.read.parquet(path)
 
 
 @register("dl_unresolved", O.with_dead(

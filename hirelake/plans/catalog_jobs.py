@@ -121,6 +121,28 @@ def q_run_all(spark, sf):
     return J.run_all(spark, L.raw(spark, sf), t, backfill_limit=None, now=F.lit("2001-09-01").cast("timestamp"))
 
 
+@register("backfill_twice", O.with_dead(
+    "SELECT id, (retry_error IS NULL) AS resolved, CASE WHEN retry_error IS NULL THEN 0 ELSE 2 END AS retry_count, "
+    "(SELECT count(*) FILTER (WHERE retry_error IS NOT NULL) FROM retry) AS retried_again, 0 AS recovered_again FROM retry"))
+def q_backfill_twice(spark, sf):
+    """DL4 / DL5 stored: the second pass retries only what the first left open."""
+    t = J.Tables(scratch_path(spark, "backfill"))
+    J.ingest(spark, L.raw(spark, sf), t)
+    J.backfill(spark, t, limit=None)
+    again = J.backfill(spark, t, limit=None)
+    return J.dead_letters(spark, t).select(
+        "id", "resolved", "retry_count", again.select("retried").scalar().alias("retried_again"),
+        again.select("recovered").scalar().alias("recovered_again"))
+
+
+@register("stream_dead_letters", O.with_dead("SELECT p_id, error_message FROM dead"))
+def q_stream_dead_letters(spark, sf):
+    """STR1 / STR3: dead letters of the same files ingested twice; each is stored once."""
+    t = _stream_bronze(spark, sf, runs=2)
+    dead = spark.read.parquet(t.path("bronze_jobs_dead_letter"))
+    return dead.select(F.get_json_object("raw_data", "$.id").alias("p_id"), "error_message")
+
+
 def _stream_bronze(spark, sf, runs: int = 1):
     raw = L.raw(spark, sf)
     landing = scratch_path(spark, "landing")

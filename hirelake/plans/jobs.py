@@ -8,6 +8,7 @@ folder on the shared file system (see ``hirelake.session.scratch_path``).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from hirelake.operators import gold as G
 from hirelake.operators import silver as S
 from hirelake.operators import validate as V
 from hirelake.plans import sinks
+from hirelake.sources.landed import path_has_data
 
 
 @dataclass(frozen=True)
@@ -46,12 +48,14 @@ def ingest(spark: SparkSession, raw: DataFrame, t: Tables, run_source: str = fix
     Returns the one-row ingest summary (VAL9).
     """
     staged = t.path(f"_staging/validated-{run_source}")
+    if "_pos" not in raw.columns:  # landing order, or else any order that a rerun repeats
+        raw = raw.withColumn("_pos", F.struct("_file", "_line", "_idx") if "_file" in raw.columns
+                             else F.xxhash64(*raw.columns))
     V.validate(raw, run_source, ingested_at).write.mode("overwrite").parquet(staged)
     checked = spark.read.parquet(staged)
     existing = sinks.read_table(spark, t.path("bronze_jobs"))
-    seq = "_pos" if "_pos" in checked.columns else None
-    valid = checked.filter(F.col("error_message").isNull()).select(*V.BRONZE_COLUMNS, *([seq] if seq else []))
-    merged = sinks.upsert(existing, valid, "id", seq, keep_first=["ingested_at"])
+    valid = checked.filter(F.col("error_message").isNull()).select(*V.BRONZE_COLUMNS, "_pos")
+    merged = sinks.upsert(existing, valid, "id", "_pos", keep_first=["ingested_at"])
     sinks.write_table(merged.select(*V.BRONZE_COLUMNS), t.path("bronze_jobs"))
     sinks.append_new(V.dead_letters(checked, run_source), t.path("bronze_jobs_dead_letter"))
     return V.ingest_summary(checked, run_source)
@@ -77,17 +81,31 @@ def run_transformations(spark: SparkSession, t: Tables, flavour: str = "python")
     return G.transform_summary(bronze, silver, gold)
 
 
+def dead_letters(spark: SparkSession, t: Tables) -> DataFrame:
+    """The dead-letter table in its current state.
+
+    Two append-only folders: the letters, and a log of what each backfill
+    pass found out.  Neither is ever rewritten; the state is their fold.
+    """
+    log = t.path("bronze_jobs_dead_letter_outcomes")
+    log = spark.read.parquet(log) if path_has_data(spark, log) else None
+    return DL.with_outcomes(spark.read.parquet(t.path("bronze_jobs_dead_letter")), log)
+
+
 def backfill(spark: SparkSession, t: Tables, limit: int | None = 100, now: Column | None = None) -> DataFrame:
-    """DL3-DL7: retry unresolved dead letters, upsert recoveries, update state."""
-    dl_root = t.path("bronze_jobs_dead_letter")
-    dead = spark.read.parquet(dl_root)
-    staged = t.path("_staging/retry")
-    DL.retry(dead, limit).write.mode("overwrite").parquet(staged)
+    """DL3-DL7: retry unresolved dead letters, upsert recoveries, log the outcome.
+
+    The next pass reads the log, so it retries only what is still open.
+    """
+    run = uuid.uuid4().hex
+    staged = t.path(f"_staging/retry-{run}")
+    DL.retry(dead_letters(spark, t), limit).write.parquet(staged)
     retried = spark.read.parquet(staged)
     bronze = sinks.read_table(spark, t.path("bronze_jobs"))
-    recovered = DL.recovered_rows(retried)
-    sinks.write_table(sinks.upsert(bronze, recovered, "id", keep_first=["ingested_at"]), t.path("bronze_jobs"))
-    sinks.write_table(DL.apply_outcome(dead, retried, now), t.path("dead_letter_state"))
+    recovered = retried.filter("recoverable").select(*V.BRONZE_COLUMNS, "_dl_id")
+    merged = sinks.upsert(bronze, recovered, "id", "_dl_id", keep_first=["ingested_at"])
+    sinks.write_table(merged, t.path("bronze_jobs"))
+    DL.outcomes(retried, run, now).write.mode("append").parquet(t.path("bronze_jobs_dead_letter_outcomes"))
     return DL.backfill_summary(retried)
 
 
@@ -96,7 +114,8 @@ def run_all(spark: SparkSession, raw: DataFrame, t: Tables, run_source: str = fi
     """JOB1: ingest -> transform -> backfill; one summary row.
 
     Backfill runs after the transform, so recovered postings reach silver
-    on the next run (as in the reference flow).
+    on the next run (as in the reference flow).  A failing ingest raises and
+    nothing after it runs.
     """
     ing = ingest(spark, raw, t, run_source)
     trans = run_transformations(spark, t)

@@ -140,7 +140,7 @@ _SAL_PATTERN = fixed.SALARY_PATTERN.replace("'", "''")
 SILVER = f"""
 sal AS (
   SELECT *,
-    coalesce(nullif(salary, ''), nullif(substr(description, 1, {fixed.DESCRIPTION_SALARY_CHARS}), '')) AS _stext
+    coalesce(nullif(salary, ''), nullif(description, '')) AS _stext
   FROM bronze
 ),
 sal2 AS (
@@ -224,10 +224,12 @@ def rules_sql(id_: str, url: str, title: str, company: str, source: str) -> str:
       CASE WHEN {_clean(source)} IS NULL THEN '{fixed.MSG_STR_TYPE}' END)"""
 
 
+_PAYLOAD = "json_object(" + ", ".join(f"'{f}', r.{f}" for f in fixed.CANONICAL_FIELDS) + ")::VARCHAR"
+
 DEAD = f"""
 dead AS (
-  SELECT ('0x' || substr(md5('{fixed.DEFAULT_SOURCE}:' || CAST(v._pos AS VARCHAR)), 1, 15))::BIGINT AS id,
-         '{fixed.DEFAULT_SOURCE}' AS source, v.error_message, false AS resolved, 0 AS retry_count,
+  SELECT ('0x' || substr(md5('{fixed.DEFAULT_SOURCE}|' || CAST(v._pos AS VARCHAR) || '|1|' || {_PAYLOAD}), 1, 15))::BIGINT AS id,
+         '{fixed.DEFAULT_SOURCE}' AS source, {_PAYLOAD} AS raw_data, v.error_message, false AS resolved, 0 AS retry_count,
          r._landed_at AS created_at, CAST(NULL AS TIMESTAMP) AS resolved_at,
          r.id AS p_id, r.url AS p_url, r.title AS p_title, r.company_name AS p_company, r.source AS p_source
   FROM validated v JOIN raw r ON r._pos = v._pos
@@ -279,7 +281,7 @@ res_rank AS (
 resume_skills AS (
   SELECT d.doc_id AS resume_id,
          coalesce(list(r.t ORDER BY r.rn) FILTER (WHERE r.t IS NOT NULL), []::VARCHAR[]) AS skills
-  FROM resume_docs d LEFT JOIN (SELECT * FROM res_rank WHERE rn <= {fixed.RESUME_MAX_SKILLS}) r ON r.doc_id = d.doc_id
+  FROM resume_docs d LEFT JOIN res_rank r ON r.doc_id = d.doc_id
   GROUP BY d.doc_id
 ),
 job_terms AS (

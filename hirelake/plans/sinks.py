@@ -62,19 +62,19 @@ def write_table(df: DataFrame, root: str, partition_by: list[str] | None = None)
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, key: str = "id",
-           seq_col: str | None = None, keep_first: list[str] | None = None) -> DataFrame:
+           seq_col: str = "_seq", keep_first: list[str] | None = None) -> DataFrame:
     """SNK1: keyed upsert - incoming rows replace existing ones, last one wins.
 
-    Among incoming duplicates the highest ``seq_col`` (batch position) wins;
+    Among incoming duplicates the highest ``seq_col`` (batch position, or any
+    reproducible order) wins;
     ``keep_first`` columns (``ingested_at``) keep the value of the oldest
     version of the key.  One partial aggregation per key: a key repeated in
     a third of the rows is pre-reduced in every map task.
     """
     keep_first = keep_first or []
     cols = [c for c in incoming.columns if c != seq_col]
-    seq = F.col(seq_col) if seq_col else F.monotonically_increasing_id()
-    seq_type = incoming.schema[seq_col].dataType if seq_col else "long"
-    inc = incoming.select(*cols, F.lit(1).alias("_new"), seq.alias("_seq"))
+    seq_type = incoming.schema[seq_col].dataType
+    inc = incoming.select(*cols, F.lit(1).alias("_new"), F.col(seq_col).alias("_seq"))
     if existing is not None:
         old = existing.select(*cols, F.lit(0).alias("_new"), F.lit(None).cast(seq_type).alias("_seq"))
         inc = old.unionByName(inc)

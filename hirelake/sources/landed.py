@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
 from hirelake.functions import terms as T
-from hirelake.functions.parse import normalize_tag_array
 from hirelake.functions.text import py_strip
 
 RAW_SCHEMA = ", ".join(f"{f} STRING" for f in fixed.CANONICAL_FIELDS)
@@ -316,8 +315,3 @@ def source_resolve_col(name: Column) -> Column:
 def scan_layer(spark: SparkSession, path: str) -> DataFrame:
     """SRC13: a written layer table."""
     return spark.read.parquet(path)
-
-
-def with_array_tags(df: DataFrame) -> DataFrame:
-    """Normalised tags of a canonical frame whose ``tags`` is JSON list text."""
-    return df.withColumn("tags", normalize_tag_array(F.from_json("tags", "array<string>")))
