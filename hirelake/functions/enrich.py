@@ -31,12 +31,14 @@ def infer_country(location: Column) -> Column:
     )
 
 
-def salary_text(salary: Column, description: Column) -> Column:
-    """Text a salary is read from: the salary field, else the description head."""
-    return F.coalesce(
-        F.nullif(salary, F.lit("")),
-        F.nullif(F.substring(description, 1, fixed.DESCRIPTION_SALARY_CHARS), F.lit("")),
-    )
+def salary_text(salary: Column, description: Column, head_chars: int | None = None) -> Column:
+    """Text a salary is read from: the salary field, else the description.
+
+    The whole description by default; ``head_chars`` reads only its head
+    (the reference reads ``fixed.DESCRIPTION_SALARY_CHARS``).
+    """
+    head = description if head_chars is None else F.substring(description, 1, head_chars)
+    return F.coalesce(F.nullif(salary, F.lit("")), F.nullif(head, F.lit("")))
 
 
 def salary_currency_of(text: Column) -> Column:

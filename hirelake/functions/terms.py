@@ -35,16 +35,17 @@ def skill_set(skills: Column) -> Column:
     return F.array_distinct(F.filter(cleaned, lambda s: s != ""))
 
 
-def resume_skills(text: Column) -> Column:
-    """REC1: keyword skills of a résumé, first ``RESUME_MAX_SKILLS`` by first occurrence."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(_TERM_RE), 0)
+def resume_skills(text: Column, max_skills: int | None = None) -> Column:
+    """REC1: keyword skills of a résumé by first occurrence; all of them, or the
+    first ``max_skills`` (the reference takes ``fixed.RESUME_MAX_SKILLS``)."""
+    tokens = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM_RE), 0))
     stop = F.array(*[F.lit(w) for w in fixed.RESUME_STOPWORDS])
     short = F.array(*[F.lit(w) for w in fixed.SHORT_TERMS_KEPT])
     kept = F.filter(
         tokens,
         lambda t: ~F.array_contains(stop, t) & ((F.length(t) > 1) | F.array_contains(short, t)),
     )
-    return F.slice(F.array_distinct(kept), 1, fixed.RESUME_MAX_SKILLS)
+    return kept if max_skills is None else F.slice(kept, 1, max_skills)
 
 
 def qualification_keywords(quals: Column) -> Column:

@@ -51,8 +51,9 @@ def jobs_page(bronze: DataFrame, silver: DataFrame, page: int = 1, page_size: in
 
     Silver-side filters make the outer join inner; Catalyst rewrites it.
     """
-    page_size = min(page_size, 200)
-    offset = (max(page, 1) - 1) * page_size
+    if not 1 <= page_size <= 200 or page < 1:
+        raise ValueError(f"page {page} of {page_size} rows: pages start at 1 and hold 1 to 200 rows")
+    offset = (page - 1) * page_size
     df = jobs_enriched(bronze, silver)
     if source:
         df = df.filter(F.col("source") == source)
@@ -245,13 +246,7 @@ def salary_kpis(salary_roles: DataFrame) -> DataFrame:
     )
 
 
-def skill_options(gold_skill: DataFrame, first: int = 100) -> DataFrame:
-    """TOP12: sorted distinct skills among the first trend rows."""
-    return key_trends(gold_skill, "skill", first).select("skill").distinct().orderBy("skill")
-
-
-def ilike_any(c: Column, texts: list[str]) -> Column:
-    cond = F.lit(False)
-    for t in texts:
-        cond = cond | c.ilike(f"%{t}%")
-    return cond
+def skill_options(gold_skill: DataFrame, first: int | None = None) -> DataFrame:
+    """TOP12: sorted distinct skills, of all trend rows or of the ``first`` ones."""
+    rows = gold_skill if first is None else key_trends(gold_skill, "skill", first)
+    return rows.select("skill").distinct().orderBy("skill")

@@ -1,10 +1,11 @@
 """Join strategies shared by the matching operators.
 
-``broadcast_if_small`` broadcasts a side only after counting it; above the
-bound the plain (sort-merge) join is kept.  ``salted_join`` splits keys
-that hold a large share of one side across ``buckets`` sub-keys and
-replicates the other side's rows for exactly those keys, so a term held by
-a third of all rows is spread over many tasks instead of one.
+``broadcast_if_small`` broadcasts a side only when Spark's own size estimate
+is within a byte bound; above it the plain (sort-merge) join is kept.
+``salted_join`` splits keys that hold a large share of one side across
+sub-keys, more for a larger share, and replicates the other side's rows for
+exactly those keys, so a term held by a third of all rows is spread over many
+tasks instead of one.
 """
 
 from __future__ import annotations
@@ -12,32 +13,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we allow to be shipped to every executor.  A few million narrow rows
-# is a few hundred MB at most; above that the shuffle join is used.
-BROADCAST_MAX_ROWS = 2_000_000
+from hirelake.session import scratch_path
 
+# Estimated bytes we allow to be shipped to every executor.
+BROADCAST_MAX_BYTES = 64 << 20
+# Rows of one key that a task should join at most.
+ROWS_PER_SALT = 100_000
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
 
-    The count is an action; callers pass frames that are cheap to count
-    (already bounded by a limit, or checkpointed).
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is at most ``max_bytes``, else ``df``.
+
+    Callers pass stored frames (``materialize``), whose estimate is their file size.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(size) <= max_bytes else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+    """Write ``df`` once to the shared folder as Parquet and read it back.
 
     Used before a frame is both counted (size checks, hot keys) and joined,
-    so its lineage is computed once and a lost executor re-reads stored
-    files instead of recomputing upstream stages.
+    so its lineage is computed once, a lost executor re-reads stored files
+    instead of recomputing upstream stages, and readers prune columns.
     """
-    from hirelake.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ensure_parallelism(df: DataFrame) -> DataFrame:
@@ -56,29 +58,25 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keys holding at least ``min_rows`` rows (pre-aggregated, map-side)."""
-    return (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= min_rows).select(key)
-    )
+    """``(key, _n)`` of keys holding more than ``min_rows`` rows (pre-aggregated, map-side)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > min_rows)
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salt_by: str,
-                buckets: int = 32, hot_min_rows: int = 100_000) -> DataFrame:
-    """Exact inner equi-join on ``key`` with hot keys split ``buckets`` ways.
+                rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Exact inner equi-join on ``key`` with hot keys split by their row count.
 
-    ``big`` rows of a hot key get ``salt = pmod(hash(salt_by), buckets)``;
-    ``small`` rows of a hot key are replicated once per salt value.  Cold
-    keys keep salt 0 on both sides.  The hot-key set is bounded by
-    ``rows(big) / hot_min_rows`` and is broadcast after a count.
+    ``big`` rows of a key with n > ``rows_per_salt`` rows get one of
+    ``ceil(n / rows_per_salt)`` salts by the hash of ``salt_by``; ``small``
+    rows of that key are replicated once per salt.  Cold keys keep salt 0 on
+    both sides.  There are at most rows(big) / rows_per_salt hot keys.
     """
-    hot = broadcast_if_small(hot_keys(big, key, hot_min_rows).withColumn("_hot", F.lit(True)))
+    hot = materialize(hot_keys(big, key, rows_per_salt).select(
+        key, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_ways")))
+    hot = broadcast_if_small(hot)
+    ways = F.coalesce(F.col("_ways"), F.lit(1))
     b = big.join(hot, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(salt_by)), F.lit(buckets))).otherwise(F.lit(0)),
-    ).drop("_hot")
+        "_salt", F.pmod(F.xxhash64(F.col(salt_by)), ways).cast("int")).drop("_ways")
     s = small.join(hot, key, "left").withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
+        "_salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")
     return b.join(s, [key, "_salt"]).drop("_salt")

@@ -109,3 +109,27 @@ def test_stable_id_is_reproducible(spark):
     ids = [r["i"] for r in df.select(T.stable_id("remoteok", F.col("k"), 500_000_000).alias("i")).collect()]
     assert ids[0] == ids[1] != ids[2]
     assert all(500_000_000 <= i < 1_500_000_000 for i in ids)
+
+
+ISO_SHAPES = [
+    "20260610T120000", "2026-06-10T12:00:00.1234567Z", "2026-06-10t12:00:00Z", "2026-W24-3", "2026W243", "2026W24",
+    "2026-W24", "2026-W53-1", "2025-W53-1", "2026-W54-1", "20260610", "2026-06-10 12", "20260610T1200", "20260610T12:00:00+0530",
+    "2026-06-10T12:00:00,5-05:00", "2026-06-10_12:00", "2026-06", "12:00", "2026-06-1", "2026-13-01", "202606101", "",
+    "2026-W24-3T10:11:12Z", "2026-06-10T1", "nonsense",
+]
+
+
+@pytest.mark.parametrize("text", ISO_SHAPES)
+def test_iso_shapes_as_python(spark, text):
+    import datetime as dt
+
+    try:
+        want = dt.datetime.fromisoformat(text)
+    except ValueError:
+        want = None
+    got = one(spark, F.unix_micros(P.parse_iso_timestamp(F.col("v"))), text)
+    if want is None:
+        assert got is None
+    else:
+        utc = want if want.tzinfo else want.replace(tzinfo=dt.timezone.utc)
+        assert got == (utc - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
