@@ -96,9 +96,9 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_toxicity")
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Category probabilities of every document; toxic from 0.5 on."""
+    """Category probabilities of every document, and whether it is toxic."""
     docs, labels = C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels")
     names = ["low_quality", "toxic"]
     chain = toxicity.fit(docs, labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic"), names)
     out = toxicity.score(docs, chain, categories=names)
-    return out.withColumn("toxic", F.coalesce(F.col("p_toxic") >= 0.5, F.lit(False)))
+    return out.withColumn("toxic", F.coalesce(F.col("p_toxic") >= toxicity.THRESHOLD, F.lit(False)))
