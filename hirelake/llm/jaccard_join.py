@@ -38,9 +38,10 @@ from pyspark.sql import functions as F
 from hirelake.llm import common as C
 
 SMALL_MAX = 20        # sets up to this size may be enumerated
-LIST_LONG = 32        # an element with more sets goes to the end of the order
+LIST_LONG = 12        # an element with more sets goes to the end of the order
+FEW = 1_000_000       # a frame of ids is broadcast up to so many rows (some tens of MB)
 ORDER_MAX = 1_000_000  # of these, the most frequent so many (8 MB broadcast)
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 3
 
 
 @dataclass(frozen=True)
@@ -69,14 +70,30 @@ class Rule:
         return sum(comb(n, self.overlap(n, m)) for m in self.partners(n, top))
 
 
-def _sets(docs: DataFrame, rule: Rule, late: np.ndarray | None) -> DataFrame:
+def _first(s: np.ndarray, p: int, late: np.ndarray) -> np.ndarray:
+    """The first ``p`` elements of a sorted set in the global order: by hash,
+    those of ``late`` after all others."""
+    if len(late) and p:
+        is_late = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
+        if is_late[:p].any():
+            s = np.concatenate([s[~is_late], s[is_late]])
+    return s[:p]
+
+
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """256 bits, each flipped by the elements that hash to it.  Two sketches
+    differ in at most as many bits as the sets differ in elements."""
+    bit = (C.mix64(s + C.U(5)) >> C.U(56)).astype(np.int64)
+    odd = np.bincount(bit, minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
     """(id, n, f1, f2, small, prefix): size, fingerprint, the whole set when it
-    is small, and the first elements in the global order: by hash, those of
-    ``late`` after all others."""
-    shared = docs.sparkSession.sparkContext.broadcast(late if late is not None else np.zeros(0, C.U))
+    is small, and the first elements by hash."""
+    none = np.zeros(0, C.U)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = shared.value
         for batch in batches:
             size, f1, f2, small, prefix = [], [], [], [], []
             for s in C.shingle_sets(batch.column(1), rule.k):
@@ -84,13 +101,7 @@ def _sets(docs: DataFrame, rule: Rule, late: np.ndarray | None) -> DataFrame:
                 f1.append(np.bitwise_xor.reduce(C.mix64(s)).view(np.int64) if len(s) else 0)
                 f2.append(s.sum(dtype=C.U).view(np.int64) if len(s) else 0)
                 small.append(s.view(np.int64) if len(s) <= SMALL_MAX else None)
-                p = rule.prefix(len(s)) if len(s) else 0
-                if p and len(last):
-                    at = np.minimum(np.searchsorted(last, s), len(last) - 1)
-                    is_late = last[at] == s
-                    if is_late[:p].any():
-                        s = np.concatenate([s[~is_late], s[is_late]])
-                prefix.append(s[:p].view(np.int64))
+                prefix.append(_first(s, rule.prefix(len(s)) if len(s) else 0, none).view(np.int64))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(size, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
                 pa.array(small, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))],
@@ -99,6 +110,25 @@ def _sets(docs: DataFrame, rule: Rule, late: np.ndarray | None) -> DataFrame:
     return docs.mapInArrow(run, "id long, n int, f1 long, f2 long, small array<long>, prefix array<long>")
 
 
+def _ordered(docs: DataFrame, rule: Rule, late: np.ndarray) -> DataFrame:
+    """(id, n, prefix, b0..b3): the first elements in the global order, and the sketch."""
+    shared = docs.sparkSession.sparkContext.broadcast(late)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, prefix, bits = [], [], []
+            for s in C.shingle_sets(batch.column(1), rule.k):
+                size.append(len(s))
+                prefix.append(_first(s, rule.prefix(len(s)) if len(s) else 0, shared.value).view(np.int64))
+                bits.append(_sketch(s))
+            bits = np.array(bits, np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())),
+                *[pa.array(bits[:, i]) for i in range(4)]], names=["id", "n", "prefix", "b0", "b1", "b2", "b3"])
+
+    return docs.mapInArrow(run, "id long, n long, prefix array<long>, b0 long, b1 long, b2 long, b3 long")
+
+
 def _boundary(sizes: dict[int, int], list_length: float, rule: Rule) -> int:
     """Size up to which sets are enumerated: least estimated rows in all."""
     def cost(b: int) -> float:
@@ -140,13 +170,18 @@ def _light_links(small: DataFrame, rule: Rule, top: int) -> DataFrame:
         .filter("a <> b").distinct()
 
 
-def _fits(a: str, b: str, rule: Rule) -> str:
-    """SQL: sizes of a and b allow a link."""
-    return f"least({a}, {b}) * {rule.den}L >= greatest({a}, {b}) * {rule.num}L"
+def _may_link(rule: Rule, top: int) -> str:
+    """SQL over two listed rows a and b, exact: sizes that allow a link, one of
+    them large, sketches that differ in few bits, and enough elements from the
+    common one on."""
+    both, apart = rule.num + rule.den, " + ".join(f"bit_count(a.b{i} ^ b.b{i})" for i in range(4))
+    return (f"least(a.n, b.n) * {rule.den}L >= greatest(a.n, b.n) * {rule.num}L and (a.n > {top} or b.n > {top}) "
+            f"and ({apart}) * {both}L <= (a.n + b.n) * {rule.den - rule.num}L "
+            f"and (least(a.pos, b.pos) + 1 + least(a.n - 1 - a.pos, b.n - 1 - b.pos)) * {both}L >= {rule.num}L * (a.n + b.n)")
 
 
 def _counted(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) with the number of common listed elements, pruned.
+    """Pairs (a, b, c) with the number c of common listed elements, pruned.
 
     After the last common listed element of both, a common element must lie
     behind it in both sets, and behind the whole listed part of one of them.
@@ -154,17 +189,21 @@ def _counted(pairs: DataFrame, rule: Rule) -> DataFrame:
     g = pairs.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"),
         F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    part = lambda n: f"({n} - (cast(ceil({n} * {rule.num}L / {rule.den}D - 1e-9) as long)) + 1)"
-    need = f"ceil({rule.num}L * (na + nb) / {rule.num + rule.den}D - 1e-9)"
+    rest = lambda n: f"(({n} * {rule.num}L + {rule.den - 1}L) div {rule.den}L - 1)"  # noqa: E731  n less its listed part
     return g.filter(
-        f"c + least(least(na - 1 - pa, nb - 1 - pb), greatest(na - {part('na')}, nb - {part('nb')})) >= {need}"
-    ).select("a", "b", "c")
+        f"(c + least(least(na - 1 - pa, nb - 1 - pb), greatest({rest('na')}, {rest('nb')}))) * {rule.num + rule.den}L "
+        f">= {rule.num}L * (na + nb)").select("a", "b", "c")
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it has at most FEW rows; it is stored."""
+    return F.broadcast(df) if df.count() <= FEW else df
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) that link, by the overlap of their whole texts."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    ids = C.stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    texts = docs.join(_few(ids), "id", "left_semi")
     both = (
         pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
@@ -185,17 +224,22 @@ def _with_component(rows: DataFrame, links: DataFrame | None) -> DataFrame:
     """Rows with ``comp``: the component of ``id``, the id itself if unlinked."""
     if links is None:
         return rows.withColumn("comp", F.col("id"))
-    return rows.join(C.components(links).select("id", F.col("component").alias("_c")), "id", "left") \
-        .withColumn("comp", F.coalesce("_c", "id")).drop("_c")
+    found = C.stored(C.components(links).select("id", F.col("component").alias("_c")), "components")
+    return rows.join(_few(found), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
 
 
-def _heavy_links(docs: DataFrame, listed: DataFrame, links: DataFrame | None, rule: Rule, top: int) -> DataFrame | None:
-    """Links with a set of more than ``top`` elements, added to ``links``."""
+def _heavy_links(docs: DataFrame, listed: DataFrame, about: DataFrame, links: DataFrame | None, rule: Rule,
+                 top: int) -> DataFrame | None:
+    """Links with a set of more than ``top`` elements, added to ``links``.
+
+    ``listed``: (token, id, pos); ``about``: (id, n, b0..b3).
+    """
     met = listed.groupBy("token").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select("token")
-    listed = C.stored(listed.join(met, "token"), "lists")
-    large = f"(na > {top} or nb > {top})"
+    rest = C.stored(listed.join(met, "token").join(_few(about), "id"), "lists")
+    may, before = _may_link(rule, top), None
+    names = "a.id as a", "b.id as b", "a.n as na", "b.n as nb", "a.pos as pa", "b.pos as pb"
     for turn in range(PIVOT_ROUNDS + 1):
-        own = _with_component(listed, links)
+        own = _with_component(rest.drop("comp"), links)
         if links is not None:
             own = C.stored(own, "lists-of-components")
         size = own.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
@@ -205,20 +249,20 @@ def _heavy_links(docs: DataFrame, listed: DataFrame, links: DataFrame | None, ru
         if not rows:
             return links
         rest = own.join(size.select("token"), "token")
-        side = lambda df, s: df.select(
-            "token", F.col("id").alias(s), F.col("comp").alias(f"c{s}"), F.col("n").cast("long").alias(f"n{s}"),
-            F.col("pos").alias(f"p{s}"))
-        last = turn == PIVOT_ROUNDS or across <= 4 * rows
+        # lists about as short as the order makes them, or pivots that no longer help
+        last = turn == PIVOT_ROUNDS or across <= LIST_LONG * rows or (before is not None and across > 0.7 * before)
+        before = across
         if last:  # the pairs that are left, across components
-            pairs = _pairs(side(rest, "a"), side(rest, "b"), rule, large)
+            pairs = rest.alias("a").join(rest.alias("b"), F.expr(
+                f"a.token = b.token and a.id < b.id and a.comp <> b.comp and {may}")).selectExpr(*names)
             found = _counted(pairs, rule).select("a", "b")
         else:  # each member with its list's pivot; the best pivot of each
-            pick = rest.groupBy("token").agg(F.min_by(
-                F.struct(F.col("id").alias("b"), F.col("comp").alias("cb"), F.col("n").cast("long").alias("nb"),
-                         F.col("pos").alias("pb")), F.xxhash64("comp", F.lit(turn))).alias("x")).select("token", "x.*")
-            pairs = side(rest, "a").join(pick, "token").filter(f"ca <> cb and {_fits('na', 'nb', rule)} and {large}")
-            best = _counted(pairs, rule).groupBy("a").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
-            found = best.select("a", "b")
+            pick = rest.groupBy("token").agg(F.min(F.struct(
+                F.xxhash64("comp", F.lit(turn)).alias("_h"), "id", "comp", "n", "pos", "b0", "b1", "b2", "b3")).alias("_x"))
+            pairs = rest.alias("a").join(pick.select("token", "_x.*").alias("b"), F.expr(
+                f"a.token = b.token and a.comp <> b.comp and {may}")).selectExpr(*names)
+            found = _counted(pairs, rule).groupBy("a").agg(F.max(F.struct("c", -F.col("b"))).alias("_x"))
+            found = found.select("a", (-F.col("_x.col2")).alias("b"))
         new = C.stored(_verified(C.stored(found, "pairs"), docs, rule), "links")
         links = new if links is None else links.unionByName(new)
         if last:
@@ -226,42 +270,31 @@ def _heavy_links(docs: DataFrame, listed: DataFrame, links: DataFrame | None, ru
     return links
 
 
-def _pairs(x: DataFrame, y: DataFrame, rule: Rule, large: str) -> DataFrame:
-    """Members of one list in different components, each pair once."""
-    y = y.withColumnRenamed("token", "token_b")
-    return x.join(y, F.expr(
-        f"token = token_b and a < b and ca <> cb and {_fits('na', 'nb', rule)} and {large} and "
-        f"least(pa, pb) + 1 + least(na - 1 - pa, nb - 1 - pb) >= {rule.num}L * (na + nb) / {rule.num + rule.den}D"))
-
-
 def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id) per row of ``docs``."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scan = C.spread_scan(docs)
-    sets = C.stored(_sets(scan, rule, None), "sets")
+    sets = C.stored(_sets(C.spread_scan(docs), rule), "sets")
     df = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
-    df = C.stored(df.filter("m > 1"), "frequent")
-    stat = df.agg(F.sum("m"), F.sum(F.least("m", F.lit(LIST_LONG)) * F.least("m", F.lit(LIST_LONG)))).first()
     long_lists = df.filter(F.col("m") > LIST_LONG).orderBy(F.desc("m"), "token").limit(ORDER_MAX).select("token")
     late = np.sort(np.array(long_lists.toPandas()["token"], np.int64).view(C.U))
-    ordered = C.stored(_sets(scan, rule, late).select("id", "prefix"), "prefixes") if len(late) else sets
 
     classes = C.stored(
         sets.filter("n > 0").groupBy("f1", "f2", "n").agg(
             F.min("id").alias("rep"), F.first("small").alias("small"), F.count(F.lit(1)).alias("rows")), "classes")
     histogram = {r.n: r.h for r in classes.filter(F.col("n") <= 2 * SMALL_MAX)
                  .groupBy("n").agg(F.count(F.lit(1)).alias("h")).collect()}
-    top = _boundary(histogram, (stat[1] or 0) / (stat[0] or 1), rule)
+    top = _boundary(histogram, LIST_LONG / 2, rule)
 
-    reps = classes.filter("rep is not null").select(F.col("rep").alias("id"), "n", "small")
+    reps = C.stored(classes.filter("rep is not null").select(F.col("rep").alias("id"), "n", "small"), "representatives")
     light = reps.filter(F.col("n") <= top)
     links = C.stored(_light_links(light, rule, top), "light-links") if any(n <= top for n in histogram) else None
-    listed = (
-        ordered.select("id", "prefix").join(reps.filter(F.col("n") >= rule.least(top + 1)).select("id", "n"), "id")
-        .select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-    )
-    links = _heavy_links(docs.filter("id is not null"), listed, links, rule, top)
+    large = reps.filter(F.col("n") >= rule.least(top + 1)).select("id")
+    texts = docs.filter("id is not null").join(_few(large), "id", "left_semi")
+    ordered = C.stored(_ordered(C.spread_scan(texts.select("id", "text")), rule, late), "ordered")
+    listed = ordered.select("id", F.posexplode("prefix").alias("pos", "token"))
+    about = ordered.select("id", "n", "b0", "b1", "b2", "b3")
+    links = _heavy_links(docs.filter("id is not null"), listed, about, links, rule, top)
 
     named = classes.select("f1", "f2", "n", "rows", F.col("rep").alias("id"))
     named = _with_component(named, links).select("f1", "f2", "n", "rows", "comp")
