@@ -51,6 +51,23 @@ def q_score_jobs(spark, sf):
     return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)))
 
 
+@register("score_jobs_roles", O.with_resumes(
+    "SELECT resume_id, job_id, publication_date, overlap + CASE WHEN bonus THEN 2 ELSE 0 END AS score, "
+    "CASE WHEN n > 0 THEN CASE WHEN bonus THEN least(100, pct + 15) ELSE pct END WHEN bonus THEN 100 ELSE 0 END AS match_percent "
+    "FROM (SELECT x.resume_id, x.job_id, c.publication_date, x.overlap, x.bonus, len(s.skills) AS n, "
+    "CAST(CASE WHEN len(s.skills) > 0 THEN floor(x.overlap / len(s.skills) * 100) ELSE 0 END AS INTEGER) AS pct FROM ("
+    "SELECT resume_id, job_id, max(overlap) AS overlap, bool_or(bonus) AS bonus FROM ("
+    "SELECT resume_id, job_id, overlap, false AS bonus FROM resume_pairs UNION ALL "
+    "SELECT d.doc_id, c.job_id, 0, true FROM documents d "
+    "JOIN part p ON p.p_partkey = d.doc_id % (SELECT count(*) FROM part) AND d.doc_id % 5 = 0 "
+    "JOIN candidates c ON contains(lower(c.title), lower(p.p_type))) GROUP BY resume_id, job_id) x "
+    "JOIN candidates c ON c.job_id = x.job_id JOIN resume_skills s ON s.resume_id = x.resume_id)"))
+def q_score_jobs_roles(spark, sf):
+    """REC3 with recommended roles: bonus and role-only matches."""
+    skills = M.resume_skill_frame(TD.resumes(spark, sf, with_roles=True))
+    return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)), role_matches=True)
+
+
 @register("recommend_top_n", O.with_resumes(
     "SELECT resume_id, job_id, publication_date, score, match_percent, rank, "
     f"CASE WHEN match_percent >= {fixed.TIER_STRONG} THEN 'strong' WHEN match_percent >= {fixed.TIER_GOOD} "

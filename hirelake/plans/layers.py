@@ -15,24 +15,32 @@ from hirelake.operators import validate as V
 from hirelake.sources import testdata
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testdata.raw_postings(spark, sf_dir)
+# What validation reads of the joined fields, and each gold table beyond that.
+_CHECKED = {"title", "company_name"}
+_GOLD_FIELDS = {"country": {"candidate_required_location"}, "skill": {"tags"}, "role": set(), "time": set()}
 
 
-def validated(spark: SparkSession, sf_dir: str, run_source: str = fixed.DEFAULT_SOURCE) -> DataFrame:
-    return V.validate(raw(spark, sf_dir), run_source)
+def raw(spark: SparkSession, sf_dir: str, fields: set[str] | None = None) -> DataFrame:
+    """Raw postings; with ``fields``, only those joined fields are filled."""
+    return testdata.raw_postings(spark, sf_dir, fields)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.valid_rows(validated(spark, sf_dir))
+def validated(spark: SparkSession, sf_dir: str, run_source: str = fixed.DEFAULT_SOURCE,
+              fields: set[str] | None = None) -> DataFrame:
+    return V.validate(raw(spark, sf_dir, None if fields is None else fields | _CHECKED), run_source)
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.silver_jobs(bronze(spark, sf_dir))
+def bronze(spark: SparkSession, sf_dir: str, fields: set[str] | None = None) -> DataFrame:
+    return V.valid_rows(validated(spark, sf_dir, fields=fields))
+
+
+def silver(spark: SparkSession, sf_dir: str, fields: set[str] | None = None) -> DataFrame:
+    return S.silver_jobs(bronze(spark, sf_dir, fields))
 
 
 def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    sv = silver(spark, sf_dir)
+    """A gold table; tables that it does not count are not read."""
+    sv = silver(spark, sf_dir, _GOLD_FIELDS[name])
     return {
         "country": G.gold_country_trends,
         "skill": G.gold_skill_trends,

@@ -15,12 +15,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
 from hirelake.functions import terms as T
 from hirelake.functions.text import py_strip
+from hirelake.operators.strategy import materialize
 
 RAW_SCHEMA = ", ".join(f"{f} STRING" for f in fixed.CANONICAL_FIELDS)
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
@@ -291,10 +294,20 @@ def path_has_data(spark: SparkSession, path: str) -> bool:
 
 
 def source_fallback(spark: SparkSession, primary: Callable[[], DataFrame], primary_path: str,
-                    fallback_csv: str) -> tuple[str, DataFrame]:
-    """SRC10: the primary source, or the CSV labelled ``kaggle`` when it has no data."""
-    if path_has_data(spark, primary_path):
-        return "remotive", primary()
+                    fallback_csv: str, source: str = fixed.DEFAULT_SOURCE) -> tuple[str, DataFrame]:
+    """SRC10: the primary source, or the CSV labelled ``kaggle`` when reading it fails.
+
+    A missing or empty folder is a failure, and so is an error while the rows
+    are read: they are stored here, so it shows before anything depends on
+    them.  Only the default source has a fallback; others raise.
+    """
+    try:
+        if not path_has_data(spark, primary_path):
+            raise FileNotFoundError(primary_path)
+        return source, materialize(primary())
+    except (FileNotFoundError, PySparkException, Py4JJavaError):
+        if source != fixed.DEFAULT_SOURCE:
+            raise
     return fixed.FALLBACK_SOURCE, src_csv(spark, fallback_csv).withColumn("source", F.lit(fixed.FALLBACK_SOURCE))
 
 

@@ -36,60 +36,53 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw postings: all fields as text, plus ``_landed_at`` and ``_pos``."""
-    # Hash-partition orders by key into the session's shuffle width: the
-    # lineitem join needs exactly this exchange, and an explicit partition
-    # count keeps the posting rows spread over that many tasks even when the
-    # order table is one small file and the later joins are broadcasts.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    ).repartition(parts, "o_orderkey")
-    items = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.min("l_partkey").alias("p1"),
-            F.max("l_partkey").alias("p2"),
-            F.min("l_suppkey").alias("s1"),
-        )
-    )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    p = part.select(
-        F.col("p_partkey").alias("p1"),
-        F.col("p_name").alias("p_name"),
-        F.col("p_brand").alias("p_brand"),
-        F.col("p_type").alias("p_type"),
-    )
-    q = part.select(
-        F.col("p_partkey").alias("p2"),
-        F.col("p_brand").alias("q_brand"),
-        F.col("p_type").alias("q_type"),
-    )
-    supplier = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("s1"), "s_name"
-    )
-    customer = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_nationkey"
-    )
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name"
-    )
-    docs = table(spark, sf_dir, "documents")
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    descriptions = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_desc"))
-
-    base = (
-        orders.join(items, orders.o_orderkey == items.l_orderkey, "left")
-        .join(p, "p1", "left")
-        .join(q, "p2", "left")
-        .join(supplier, "s1", "left")
-        .join(customer, "o_custkey", "left")
-        .join(F.broadcast(nation), "c_nationkey", "left")
-        .withColumn("_doc", F.pmod(F.col("o_orderkey"), n_docs))
-        .join(descriptions, "_doc", "left")
-    )
+# Fields that need a dimension join; all others come from orders alone.
+JOINED_FIELDS = {
+    "title", "category", "tags", "company_name", "candidate_required_location", "description",
+}
+
+
+def _spread_null(key: str) -> Column:
+    """The key, or for a null one of many values that match nothing, so the
+    orders without lines do not meet in one task of an outer join."""
+    return F.coalesce(F.col(key), -1 - F.pmod(F.xxhash64("o_orderkey"), F.lit(100_000)))
+
+
+def raw_postings(spark: SparkSession, sf_dir: str, fields: set[str] | None = None) -> DataFrame:
+    """Raw postings: all fields as text, plus ``_landed_at`` and ``_pos``.
+
+    ``fields`` names the ``JOINED_FIELDS`` that the caller reads (None: all);
+    the others are null and their tables are not read.
+    """
+    need = JOINED_FIELDS if fields is None else fields & JOINED_FIELDS
+    base = ensure_parallelism(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
+    if need & {"title", "category", "tags", "company_name"}:
+        items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+            F.min("l_partkey").alias("p1"), F.max("l_partkey").alias("p2"), F.min("l_suppkey").alias("s1"))
+        base = base.join(items, base.o_orderkey == items.l_orderkey, "left")
+    part = table(spark, sf_dir, "part")
+    if need & {"title", "category", "tags"}:
+        p = part.select(F.col("p_partkey").alias("p1"), "p_name", "p_brand", "p_type")
+        base = base.withColumn("p1", _spread_null("p1")).join(p, "p1", "left")
+    if "tags" in need:
+        q = part.select(F.col("p_partkey").alias("p2"), F.col("p_brand").alias("q_brand"), F.col("p_type").alias("q_type"))
+        base = base.withColumn("p2", _spread_null("p2")).join(q, "p2", "left")
+    if "company_name" in need:
+        supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s1"), "s_name")
+        base = base.withColumn("s1", _spread_null("s1")).join(supplier, "s1", "left")
+    if "candidate_required_location" in need:
+        customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+        base = base.join(customer, "o_custkey", "left").join(F.broadcast(nation), "c_nationkey", "left")
+    if "description" in need:
+        docs = table(spark, sf_dir, "documents")
+        n_docs = docs.select(F.count(F.lit(1))).scalar()
+        descriptions = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_desc"))
+        base = base.withColumn("_doc", F.pmod(F.col("o_orderkey"), n_docs)).join(descriptions, "_doc", "left")
+    missing = [c for c in ("p_name", "p_brand", "p_type", "q_brand", "q_type", "s_name", "n_name", "_desc")
+               if c not in base.columns]
+    base = base.withColumns({c: F.lit(None).cast("string") for c in missing})
     return base.select(*_posting_columns())
 
 
@@ -166,17 +159,18 @@ def _posting_columns() -> list[Column]:
     ]
 
 
-def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def resumes(spark: SparkSession, sf_dir: str, with_roles: bool = False) -> DataFrame:
     """Résumés: one per document - a headline naming a part and a technology,
     then the whole document text.
 
     The headline uses part ``doc_id % count(part)`` and dictionary term
     ``doc_id % 21`` so résumés share terms with posting titles and tags.
+    ``with_roles`` adds recommended roles: every fifth résumé has the part's type.
     """
     docs = ensure_parallelism(table(spark, sf_dir, "documents"))
     part = table(spark, sf_dir, "part")
     n_parts = part.select(F.count(F.lit(1))).scalar()
-    names = part.select(F.col("p_partkey").alias("_pk"), "p_name")
+    names = part.select(F.col("p_partkey").alias("_pk"), "p_name", *(["p_type"] if with_roles else []))
     tech = F.element_at(
         F.array(*[F.lit(w) for w in fixed.TECH_TERMS]),
         (F.pmod(F.col("doc_id"), F.lit(len(fixed.TECH_TERMS))) + 1).cast("int"),
@@ -187,6 +181,8 @@ def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("doc_id").alias("resume_id"),
             F.concat_ws(" ", F.col("p_name"), tech, F.lit("developer."), F.col("text")).alias("resume_text"),
+            *([F.when((F.pmod(F.col("doc_id"), F.lit(5)) == 0) & F.col("p_type").isNotNull(), F.array("p_type"))
+               .otherwise(F.array().cast("array<string>")).alias("roles")] if with_roles else []),
         )
     )
 

@@ -58,3 +58,11 @@ def test_plan_has_no_python_or_cartesian(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
+
+
+def test_gold_time_reads_only_the_tables_it_needs(spark):
+    df = E.queries()["gold_time_trends"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for table in ("documents", "customer", "nation"):
+        assert f"{table}.parquet" not in plan
+    assert plan.count("part.parquet") <= 1

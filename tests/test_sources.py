@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirelake.sources import landed as LD
@@ -100,3 +101,17 @@ def test_csv_reads_text_and_fallback(spark, tmp_path):
     assert r["salary"] == "" and r["source"] == "kaggle"
     assert LD.source_resolve("jsearch") == "jsearch" and LD.source_resolve("other") == "remotive"
     _ = F
+
+
+def test_fallback_on_a_failing_read_of_the_default_source_only(spark, tmp_path):
+    csv = tmp_path / "csv"
+    csv.mkdir()
+    (csv / "p.csv").write_text("id,url,title\n1,https://x,t\n")
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part.parquet").write_text("this is no parquet file")
+    read = lambda: spark.read.schema("id STRING").parquet(str(broken))
+    name, df = LD.source_fallback(spark, read, str(broken), str(csv))
+    assert name == "kaggle" and df.count() == 1
+    with pytest.raises(Exception):
+        LD.source_fallback(spark, read, str(broken), str(csv), source="jsearch")
