@@ -35,6 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     without an id is in no group and stays."""
     found = jaccard_join.jaccard_components(docs, jaccard_join.Rule(k=5, num=80, den=100))
     gone = found.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = C.broadcast_if_few(C.stored(gone, "near-duplicates"))
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
@@ -53,9 +54,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 ids: doc_id, piece, start, length, ids, and
-    the piece's sequence_id and offset."""
+    the piece's sequence_id and offset.  The ids are written once; only the
+    pieces' lengths and keys (their place in the files) go through the packing."""
     parts = C.stored(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces")
-    return packing.packed(parts, ["doc_id", "piece"])
+    parts = parts.withColumns({"_file": F.xxhash64("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+    narrow = C.stored(parts.select("_file", "_row", "length"), "lengths")
+    places = C.stored(packing.packed(narrow, ["_file", "_row"]).drop("length"), "places")
+    return parts.join(C.broadcast_if_few(places), ["_file", "_row"]).drop("_file", "_row")
 
 
 STAGES = [

@@ -6,6 +6,7 @@
 * ``ranked``: gapless rank inside a key, without the key's rows in one task.
 * ``join_unique``: join to a side that is unique on the key; hot keys are
   looked up through a bounded broadcast, the rest by a shuffle join.
+* ``broadcast_if_few``: broadcast of narrow rows behind a count.
 * ``components``: connected components by alternating large and small stars.
 """
 
@@ -22,6 +23,7 @@ from hirelake.session import scratch_path
 
 BLOCK_BYTES = 1 << 20
 HOT_MAX = 2000  # at most this many keys are ever treated as hot
+FEW = 1_000_000  # a narrow frame is broadcast up to so many rows (some tens of MB)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +85,12 @@ def join_unique(left: DataFrame, right: DataFrame, keys: list[str], count: str,
     return done.unionByName(cold.select(*done.columns))
 
 
+def broadcast_if_few(df: DataFrame) -> DataFrame:
+    """``df``, a stored frame of narrow rows, marked for broadcast if it has at
+    most FEW of them; beyond that Spark joins it by a shuffle."""
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) of every id that occurs in ``edges`` (a, b).
 

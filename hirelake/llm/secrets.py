@@ -145,7 +145,7 @@ def redacted(docs: DataFrame, path: str, text_col: str = "text", kinds: tuple[Ki
     """``docs`` with every span, and overlapping spans together, replaced by MASK."""
     found = update(docs, path, text_col, kinds).withColumnRenamed("spans", "_spans")
     rows = docs.withColumn("_blob", blob_of(C.text_or_empty(text_col)))
-    rows = rows.join(found.withColumnRenamed("blob", "_blob"), "_blob", "left")
+    rows = rows.join(C.broadcast_if_few(found.withColumnRenamed("blob", "_blob")), "_blob", "left")
     t = f"`{text_col}`"
     clean = F.expr(f"""
         aggregate(_spans, struct(0 as pos, '' as done),
