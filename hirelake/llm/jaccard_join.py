@@ -32,16 +32,15 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
 
 SMALL_MAX = 20        # sets up to this size may be enumerated
 LIST_LONG = 12        # an element with more sets goes to the end of the order
-FEW = 1_000_000       # a frame of ids is broadcast up to so many rows (some tens of MB)
 ORDER_MAX = 1_000_000  # of these, the most frequent so many (8 MB broadcast)
-PIVOT_ROUNDS = 3
+PIVOTS = 8            # nearest pivots that a member of a long list is compared with first
 
 
 @dataclass(frozen=True)
@@ -170,40 +169,40 @@ def _light_links(small: DataFrame, rule: Rule, top: int) -> DataFrame:
         .filter("a <> b").distinct()
 
 
+#: SQL: number of bits in which the sketches of a and b differ.
+APART = " + ".join(f"bit_count(a.b{i} ^ b.b{i})" for i in range(4))
+
+
 def _may_link(rule: Rule, top: int) -> str:
     """SQL over two listed rows a and b, exact: sizes that allow a link, one of
     them large, sketches that differ in few bits, and enough elements from the
     common one on."""
-    both, apart = rule.num + rule.den, " + ".join(f"bit_count(a.b{i} ^ b.b{i})" for i in range(4))
+    both = rule.num + rule.den
     return (f"least(a.n, b.n) * {rule.den}L >= greatest(a.n, b.n) * {rule.num}L and (a.n > {top} or b.n > {top}) "
-            f"and ({apart}) * {both}L <= (a.n + b.n) * {rule.den - rule.num}L "
+            f"and ({APART}) * {both}L <= (a.n + b.n) * {rule.den - rule.num}L "
             f"and (least(a.pos, b.pos) + 1 + least(a.n - 1 - a.pos, b.n - 1 - b.pos)) * {both}L >= {rule.num}L * (a.n + b.n)")
 
 
 def _counted(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b, c) with the number c of common listed elements, pruned.
+    """Pairs (a, b, h), pruned by the number c of common listed elements.
 
     After the last common listed element of both, a common element must lie
     behind it in both sets, and behind the whole listed part of one of them.
     """
     g = pairs.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"),
-        F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+        F.max("pa").alias("pa"), F.max("pb").alias("pb"), F.max("h").alias("h"))
     rest = lambda n: f"(({n} * {rule.num}L + {rule.den - 1}L) div {rule.den}L - 1)"  # noqa: E731  n less its listed part
     return g.filter(
         f"(c + least(least(na - 1 - pa, nb - 1 - pb), greatest({rest('na')}, {rest('nb')}))) * {rule.num + rule.den}L "
-        f">= {rule.num}L * (na + nb)").select("a", "b", "c")
-
-
-def _few(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast if it has at most FEW rows; it is stored."""
-    return F.broadcast(df) if df.count() <= FEW else df
+        f">= {rule.num}L * (na + nb)").select("a", "b", "h")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) that link, by the overlap of their whole texts."""
-    ids = C.stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
-    texts = docs.join(_few(ids), "id", "left_semi")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    ids = C.stored(ids, "ids")
+    texts = docs.join(C.broadcast_if_few(ids), "id", "left_semi")
     both = (
         pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
@@ -225,7 +224,7 @@ def _with_component(rows: DataFrame, links: DataFrame | None) -> DataFrame:
     if links is None:
         return rows.withColumn("comp", F.col("id"))
     found = C.stored(C.components(links).select("id", F.col("component").alias("_c")), "components")
-    return rows.join(_few(found), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
+    return rows.join(C.broadcast_if_few(found), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
 
 
 def _heavy_links(docs: DataFrame, listed: DataFrame, about: DataFrame, links: DataFrame | None, rule: Rule,
@@ -235,38 +234,35 @@ def _heavy_links(docs: DataFrame, listed: DataFrame, about: DataFrame, links: Da
     ``listed``: (token, id, pos); ``about``: (id, n, b0..b3).
     """
     met = listed.groupBy("token").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select("token")
-    rest = C.stored(listed.join(met, "token").join(_few(about), "id"), "lists")
-    may, before = _may_link(rule, top), None
-    names = "a.id as a", "b.id as b", "a.n as na", "b.n as nb", "a.pos as pa", "b.pos as pb"
-    for turn in range(PIVOT_ROUNDS + 1):
-        own = _with_component(rest.drop("comp"), links)
-        if links is not None:
-            own = C.stored(own, "lists-of-components")
-        size = own.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
+    rest = listed.join(met, "token").join(C.broadcast_if_few(about), "id")
+    may = _may_link(rule, top)
+    names = ("a.id as a", "b.id as b", "a.n as na", "b.n as nb", "a.pos as pa", "b.pos as pb", f"{APART} as h")
+    for last in (False, True):
+        rest = C.stored(_with_component(rest, links), "lists")
+        size = rest.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
         size = size.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("m2"))
         size = C.stored(size.filter("m * m > m2"), "open-lists")
         rows, across = size.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("m2")) / 2)).first()
         if not rows:
             return links
-        rest = own.join(size.select("token"), "token")
-        # lists about as short as the order makes them, or pivots that no longer help
-        last = turn == PIVOT_ROUNDS or across <= LIST_LONG * rows or (before is not None and across > 0.7 * before)
-        before = across
+        rest = rest.join(size.select("token"), "token")
+        last = last or across <= LIST_LONG * rows  # lists are about as short as the order makes them
         if last:  # the pairs that are left, across components
             pairs = rest.alias("a").join(rest.alias("b"), F.expr(
                 f"a.token = b.token and a.id < b.id and a.comp <> b.comp and {may}")).selectExpr(*names)
-            found = _counted(pairs, rule).select("a", "b")
-        else:  # each member with its list's pivot; the best pivot of each
+            pairs = _counted(pairs, rule)
+        else:  # each member with a pivot of each of its lists, the nearest of these
             pick = rest.groupBy("token").agg(F.min(F.struct(
-                F.xxhash64("comp", F.lit(turn)).alias("_h"), "id", "comp", "n", "pos", "b0", "b1", "b2", "b3")).alias("_x"))
+                F.xxhash64("token", "id").alias("_h"), "id", "comp", "n", "pos", "b0", "b1", "b2", "b3")).alias("_x"))
             pairs = rest.alias("a").join(pick.select("token", "_x.*").alias("b"), F.expr(
                 f"a.token = b.token and a.comp <> b.comp and {may}")).selectExpr(*names)
-            found = _counted(pairs, rule).groupBy("a").agg(F.max(F.struct("c", -F.col("b"))).alias("_x"))
-            found = found.select("a", (-F.col("_x.col2")).alias("b"))
-        new = C.stored(_verified(C.stored(found, "pairs"), docs, rule), "links")
-        links = new if links is None else links.unionByName(new)
+            near = Window.partitionBy("a").orderBy("h", "b")  # at most a pivot per listed element
+            pairs = _counted(pairs, rule).withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= PIVOTS)
+        found = C.stored(_verified(C.stored(pairs.select("a", "b"), "pairs"), docs, rule), "links")
+        links = found if links is None else links.unionByName(found)
         if last:
             return links
+        rest = rest.drop("comp")
     return links
 
 
@@ -290,7 +286,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     light = reps.filter(F.col("n") <= top)
     links = C.stored(_light_links(light, rule, top), "light-links") if any(n <= top for n in histogram) else None
     large = reps.filter(F.col("n") >= rule.least(top + 1)).select("id")
-    texts = docs.filter("id is not null").join(_few(large), "id", "left_semi")
+    texts = docs.filter("id is not null").join(C.broadcast_if_few(large), "id", "left_semi")
     ordered = C.stored(_ordered(C.spread_scan(texts.select("id", "text")), rule, late), "ordered")
     listed = ordered.select("id", F.posexplode("prefix").alias("pos", "token"))
     about = ordered.select("id", "n", "b0", "b1", "b2", "b3")

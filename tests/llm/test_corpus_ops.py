@@ -356,7 +356,7 @@ def test_jaccard_brute_force(spark, rule):
 
 def test_jaccard_large_near_copy_group(spark, monkeypatch):
     """Many near copies and stragglers; lists far over the length kept early in the order."""
-    monkeypatch.setattr(jaccard_join, "FEW", 0)  # no broadcasts
+    monkeypatch.setattr(common, "FEW", 0)  # no broadcasts
     rng = random.Random(12)
     words = [f"w{i}" for i in range(1000)]
     base = rng.choices(words, k=80)
