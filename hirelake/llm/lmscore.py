@@ -41,8 +41,20 @@ _FOLD[0xC0:0xDF] = [c if c == 0xD7 else c + 32 for c in range(0xC0, 0xDF)]
 
 @dataclass(frozen=True)
 class Model:
-    target: list[np.ndarray]      # counts by hashed n-gram, one table per order
-    background: list[np.ndarray]
+    gram: np.ndarray          # order << SHIFT, plus the hashed n-gram
+    target: np.ndarray        # counts; the background's are scaled
+    background: np.ndarray
+
+    def tables(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The counts by hashed n-gram, one table per order and model; only
+        the n-grams that occur are broadcast."""
+        order, at = self.gram >> SHIFT, self.gram & ((1 << SHIFT) - 1)
+        out = []
+        for counts in (self.target, self.background):
+            out.append([np.zeros(1 << b, np.float32) for b in BITS])
+            for n in range(len(BITS)):
+                out[-1][n][at[order == n]] = counts[order == n]
+        return out[0], out[1]
 
 
 def _orders(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray]]]:
@@ -72,7 +84,8 @@ def _orders(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarr
 
 def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Models of the texts whose id is in ``target`` (id_col) and of all texts."""
-    ids = target.select(F.col(id_col).alias("_t")).filter("_t is not null").distinct()
+    ids = C.stored(target.select(F.col(id_col).alias("_t")).filter("_t is not null").distinct(), "target")
+    ids = C.broadcast_if_few(ids)  # beyond that the texts are shuffled once
     marked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(
         ids, F.col("_id") == F.col("_t"), "left").select(F.col("_t").isNotNull().alias("is_target"), "text")
 
@@ -96,16 +109,11 @@ def fit(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: st
     sums = marked.mapInArrow(run, "gram int, t long, b long").groupBy("gram").agg(
         F.sum("t").alias("t"), F.sum("b").alias("b"))
     got = C.stored(sums, "ngrams").toPandas()   # at most the tables' fixed size
-    order, at = got["gram"].to_numpy() >> SHIFT, got["gram"].to_numpy() & ((1 << SHIFT) - 1)
-    tables = []
-    for name in ("t", "b"):
-        tables.append([np.zeros(1 << b, np.float32) for b in BITS])
-        for n in range(len(BITS)):
-            tables[-1][n][at[order == n]] = got[name].to_numpy()[order == n]
-    mass = float(tables[0][0].sum()), float(tables[1][0].sum())
-    if mass[0]:
-        tables[1] = [x * np.float32(mass[0] / mass[1]) for x in tables[1]]
-    return Model(*tables)
+    gram, t, b = got["gram"].to_numpy(), got["t"].to_numpy(np.float64), got["b"].to_numpy(np.float64)
+    single = (gram >> SHIFT) == 0
+    if t[single].sum():
+        b = b * (t[single].sum() / b[single].sum())
+    return Model(gram.astype(np.int32), t.astype(np.float32), b.astype(np.float32))
 
 
 def _losses(tables: list[np.ndarray], grams: list[np.ndarray], before: list[np.ndarray]) -> np.ndarray:
@@ -126,7 +134,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        models = shared.value.tables()
         for batch in batches:
             n = np.zeros(batch.num_rows, np.int64)
             loss = np.zeros((2, batch.num_rows))
@@ -137,7 +145,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     c = np.roll(g, 1)
                     before.append(c)
                 begins = np.flatnonzero(np.diff(row, prepend=-1))
-                for kind, tables in enumerate((m.target, m.background)):
+                for kind, tables in enumerate(models):
                     each = _losses(tables, grams, before)
                     if len(begins):  # the first character has no context but its text's beginning
                         each[begins] = _losses(tables, [g[begins] for g in grams[:1]], [])
