@@ -21,6 +21,7 @@ MIN_SCORE = 0.5  # a text whose best language is less likely than this goes
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a letter whose language is clear; learned from the labelled
     rows.  If no row has a label nothing is known and every row stays."""
+    C.small_batches(spark)
     model = langid.fit(docs)
     if not model.langs:
         return docs
@@ -33,6 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: the smallest id.  A row
     without an id is in no group and stays."""
+    C.small_batches(spark)
     found = jaccard_join.jaccard_components(docs, jaccard_join.Rule(k=5, num=80, den=100))
     gone = found.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
     gone = C.broadcast_if_few(C.stored(gone, "near-duplicates"))
@@ -41,6 +43,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no passage of a benchmark item."""
+    C.small_batches(spark)
     return decontaminate.clean(docs, C.table(spark, sf_dir, "benchmark"))
 
 
@@ -56,6 +59,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 ids: doc_id, piece, start, length, ids, and
     the piece's sequence_id and offset.  The ids are written once; only the
     pieces' lengths and keys (their place in the files) go through the packing."""
+    C.small_batches(spark)
     parts = C.stored(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces")
     parts = parts.withColumns({"_file": F.xxhash64("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
     narrow = C.stored(parts.select("_file", "_row", "length"), "lengths")

@@ -1,6 +1,7 @@
 """Helpers shared by the training-data operators.
 
 * ``stored``: write a frame once to the shared scratch folder and read it back.
+* ``small_batches``: bounded Arrow batches where whole documents pass Python.
 * ``text_blocks`` / ``word_hashes`` / ``shingles``: numpy over Arrow string
   buffers, a bounded block of bytes at a time; no Python string per word.
 * ``ranked``: gapless rank inside a key, without the key's rows in one task.
@@ -30,6 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most ``rows`` rows in an Arrow batch of this session: batches of whole
+    documents that go to Python and back are held several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)
