@@ -32,13 +32,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents: the smallest id.  A row
-    without an id is in no group and stays."""
+    """One row of each group of linked rows: the one with the smallest id, a row
+    without an id only if none has one.  Rows are told apart by their place in the
+    stored input, so repeated rows, null ids and an id on several texts are
+    rows like all others."""
     C.small_batches(spark)
-    found = jaccard_join.jaccard_components(docs, jaccard_join.Rule(k=5, num=80, den=100))
-    gone = found.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    names = [f"c{i}" for i in range(len(docs.columns))]  # no clash with the added columns
+    placed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)],
+                         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    files = sorted(r.file for r in placed.select("file").distinct().collect())
+    files = spark.createDataFrame(list(enumerate(files)), "n long, file string")
+    keyed = placed.join(F.broadcast(files), "file").withColumn("key", F.shiftleft("n", 40) + F.col("row"))
+    doc_id, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
+    found = jaccard_join.jaccard_components(keyed, jaccard_join.Rule(k=5, num=80, den=100), "key", text)
+    found = C.stored(found.join(keyed.select("key", doc_id), "key"), "row-components")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col(doc_id).isNull(), doc_id, "key")).alias("x"))
+    gone = found.select("key").join(first.select("x.key"), "key", "left_anti")
     gone = C.broadcast_if_few(C.stored(gone, "near-duplicates"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return keyed.join(gone, "key", "left_anti").select(*names).toDF(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -447,6 +447,21 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(seen["packing"]) == {*range(40), 104}
 
 
+def test_pipeline_near_duplicates_by_row(spark):
+    text = [" ".join(f"{w}{i}" for i in range(40)) for w in "abcde"]
+    rows = [(1, text[0]), (1, text[0]), (1, text[0]),        # a repeated row
+            (None, text[1]), (None, text[1]),                # copies without an id
+            (None, text[2]), (7, text[2]), (5, text[2]),     # a null id beside others
+            (5, text[3]), (9, text[3]),                      # an id on two texts, both linked
+            (9, text[4]), (None, None), (None, "")]          # a clean text under a linked id, no words
+    d = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, key string").repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, common.stored(d, "repeats"), "")
+    assert out.columns == d.columns
+    kept = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert kept == sorted([(1, text[0]), (None, text[1]), (5, text[2]), (5, text[3]), (9, text[4]),
+                           (None, None), (None, "")], key=repr)
+
+
 def test_pipeline_empty(spark, tmp_path):
     d = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
