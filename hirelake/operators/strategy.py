@@ -21,13 +21,17 @@ BROADCAST_MAX_BYTES = 64 << 20
 ROWS_PER_SALT = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is at most ``max_bytes``, else ``df``.
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether the estimated size of ``df`` is at most ``max_bytes``.
 
     Callers pass stored frames (``materialize``), whose estimate is their file size.
     """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(size) <= max_bytes else df
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``is_small``, else ``df``."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

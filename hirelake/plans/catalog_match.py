@@ -32,14 +32,14 @@ def q_resume_skills(spark, sf):
 @register("candidate_jobs", O.with_resumes("SELECT job_id AS id, title, publication_date FROM candidates"))
 def q_candidate_jobs(spark, sf):
     """REC2: the 2000 newest postings."""
-    return M.candidate_jobs(L.bronze(spark, sf)).select("id", "title", "publication_date")
+    return M.candidate_jobs(L.bronze(spark, sf), n=fixed.CANDIDATE_JOBS).select("id", "title", "publication_date")
 
 
 @register("resume_match", O.with_resumes("SELECT resume_id, job_id, overlap FROM resume_pairs"))
 def q_resume_match(spark, sf):
     """JN5 / SET3: shared-term counts of résumés x candidate postings."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    return M.resume_match(skills, M.candidate_jobs(L.bronze(spark, sf))).select(
+    return M.resume_match(skills, M.candidate_jobs(L.bronze(spark, sf), n=fixed.CANDIDATE_JOBS)).select(
         "resume_id", "job_id", "overlap")
 
 
@@ -48,7 +48,7 @@ def q_resume_match(spark, sf):
 def q_score_jobs(spark, sf):
     """REC3."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)))
+    return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), n=fixed.CANDIDATE_JOBS))
 
 
 @register("score_jobs_roles", O.with_resumes(
@@ -65,7 +65,7 @@ def q_score_jobs(spark, sf):
 def q_score_jobs_roles(spark, sf):
     """REC3 with recommended roles: bonus and role-only matches."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf, with_roles=True))
-    return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)), role_matches=True)
+    return M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), n=fixed.CANDIDATE_JOBS), role_matches=True)
 
 
 @register("recommend_top_n", O.with_resumes(
@@ -77,7 +77,7 @@ def q_score_jobs_roles(spark, sf):
 def q_recommend_top_n(spark, sf):
     """REC4 + REC5: ten best postings per résumé with their match tier."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)))
+    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), n=fixed.CANDIDATE_JOBS))
     return M.recommend_top_n(scored, 10).withColumn("tier", M.match_tier(F.col("match_percent")))
 
 
@@ -321,6 +321,6 @@ def q_skill_overlap(spark, sf):
 def q_match_tier(spark, sf):
     """REC5: tier of every recommended posting."""
     skills = M.resume_skill_frame(TD.resumes(spark, sf))
-    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf)))
+    scored = M.score_jobs(skills, M.candidate_jobs(L.bronze(spark, sf), n=fixed.CANDIDATE_JOBS))
     return M.recommend_top_n(scored, 10).select(
         "resume_id", "job_id", "match_percent", M.match_tier(F.col("match_percent")).alias("tier"))
