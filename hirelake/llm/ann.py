@@ -181,7 +181,7 @@ def nearest(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", v
     dim = shape.d
     rows = rows.filter(F.size("vec") == dim)
     equal = Window.partitionBy(F.xxhash64("vec"), F.hash("vec")).orderBy("vec_id")
-    cand = C.stored(rows.withColumn("_r", F.row_number().over(equal)).filter(F.col("_r") <= k + 1).drop("_r"), "candidates")
+    cand = C.stored(rows.distinct().withColumn("_r", F.row_number().over(equal)).filter(F.col("_r") <= k + 1).drop("_r"), "candidates")
     n = cand.count()
     first, second = _size(n, dim)
     x = Index(dim, float(shape.norm) or 1.0, first, second)

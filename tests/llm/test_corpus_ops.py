@@ -289,6 +289,13 @@ def test_neighbours_exact_on_small_table_and_edges(spark):
     assert [tuple(r) for r in ann.nearest(few, "vec_id = 0").collect()] == [(0, 1, 1, 2.0)]
 
 
+def test_neighbours_repeated_id_beside_others(spark):
+    rows = [(1, [1.0, 2.0])] * 10 + [(i, [1.0, 2.0]) for i in (5, 4, 3, 2)] + [(9, [0.5, 0.5]), (10, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(ann.nearest(df, "vec_id = 10", k=3).collect(), key=lambda r: r["rank"])
+    assert [(r.vec_id, r.score) for r in got] == [(1, 3.0), (2, 3.0), (3, 3.0)]
+
+
 def test_neighbours_recall(spark, monkeypatch):
     monkeypatch.setattr(ann, "BUCKET", 100)
     monkeypatch.setattr(ann, "CHUNK", 64)
