@@ -269,6 +269,7 @@ def q_skill_options(spark, sf):
 # --- dead letters (SNK2, DL1-DL7) ------------------------------------------------
 
 from hirelake.operators import deadletter as DL  # noqa: E402
+from hirelake.operators.strategy import materialize  # noqa: E402
 
 AS_OF = "2001-09-01 00:00:00"
 
@@ -278,7 +279,14 @@ def _as_of():
 
 
 def _dead(spark, sf):
-    return V.dead_letters(L.validated(spark, sf))
+    """The dead letters, stored: later filters meet plain columns, not the validation."""
+    return materialize(V.dead_letters(L.validated(spark, sf)))
+
+
+def _after_pass(spark, sf):
+    """Dead letters after one backfill pass; letters and retried rows are stored first."""
+    dead = _dead(spark, sf)
+    return DL.apply_outcome(dead, materialize(DL.retry(dead, None).select("_dl_id", "recoverable")), _as_of())
 
 
 @register("dead_letter_append", O.with_dead(
@@ -320,6 +328,14 @@ def q_backfill_summary(spark, sf):
     return DL.backfill_summary(DL.retry(_dead(spark, sf), None))
 
 
+@register("dl_dry_run_totals", O.with_dead(
+    "SELECT count(*) AS inspected, count(*) FILTER (WHERE retry_error IS NULL) AS recoverable, "
+    "count(*) FILTER (WHERE retry_error IS NOT NULL) AS unrecoverable FROM retry"))
+def q_dl_dry_run_totals(spark, sf):
+    """DL6: the totals that a dry run ends with."""
+    return DL.dry_run_totals(DL.retry(_dead(spark, sf), None))
+
+
 @register("dl_promote", O.with_dead(
     "SELECT CAST(p_id AS BIGINT) AS id, s_url AS url, trim(p_title) AS title, trim(p_source) AS source "
     "FROM retry WHERE retry_error IS NULL"))
@@ -335,9 +351,7 @@ def q_dl_promote(spark, sf):
     "FROM dead d LEFT JOIN retry r ON r.id = d.id"))
 def q_dl_apply_outcome(spark, sf):
     """DL4 + DL5: resolved flags and retry counts after one backfill pass."""
-    dead = _dead(spark, sf)
-    out = DL.apply_outcome(dead, DL.retry(dead, None), _as_of())
-    return out.select("id", "resolved", "retry_count", "resolved_at")
+    return _after_pass(spark, sf).select("id", "resolved", "retry_count", "resolved_at")
 
 
 @register("ingest_summary", O.with_layers(
@@ -406,9 +420,7 @@ from hirelake.plans import catalog_jobs  # noqa: E402,F401
     "WHERE r.retry_error IS NULL"))
 def q_dl_mark_resolved(spark, sf):
     """DL4: dead letters marked resolved by one backfill pass."""
-    dead = _dead(spark, sf)
-    out = DL.apply_outcome(dead, DL.retry(dead, None), _as_of())
-    return out.filter(F.col("resolved")).select("id", "resolved_at")
+    return _after_pass(spark, sf).filter("resolved").select("id", "resolved_at")
 
 
 @register("dl_increment_retry", O.with_dead(
@@ -416,6 +428,4 @@ def q_dl_mark_resolved(spark, sf):
     "WHERE r.retry_error IS NOT NULL"))
 def q_dl_increment_retry(spark, sf):
     """DL5: dead letters still invalid after one backfill pass, one more retry counted."""
-    dead = _dead(spark, sf)
-    out = DL.apply_outcome(dead, DL.retry(dead, None), _as_of())
-    return out.filter(F.col("retry_count") > 0).select("id", "retry_count")
+    return _after_pass(spark, sf).filter("retry_count > 0").select("id", "retry_count")

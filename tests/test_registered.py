@@ -15,7 +15,7 @@ from tests.oracle_compare import digest, duck
 SUBSET = [
     "validate_split", "silver_jobs", "gold_country_trends", "country_trends", "gold_skill_trends",
     "salary_by_role", "salary_by_country", "top_roles", "country_ranking", "role_month_pivot",
-    "dead_letter_append", "dl_dry_run", "stats_overview", "resume_match", "recommend_top_n",
+    "dead_letter_append", "dl_dry_run", "dl_dry_run_totals", "dl_mark_resolved", "dl_increment_retry", "stats_overview", "resume_match", "recommend_top_n",
     "dict_recommend", "subscription_apply", "bookmark_apply", "alert_match", "alert_preview",
     "dq_fill_rates", "check_not_null", "jobs_page_filtered", "merge_sources", "run_all", "stream_ingest",
 ]
