@@ -226,6 +226,19 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, heads: tu
     return span(ends)
 
 
+def joined_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, start, end): the words again, one space between any two, A-Z as a-z."""
+    size = ends - starts
+    new = np.concatenate([[0], np.cumsum(size + 1)[:-1]]) if len(size) else size
+    out = np.full(int(size.sum()) + len(size), 0x20, np.uint8)
+    if len(size):
+        at = np.arange(len(out)) + np.repeat(starts - new, size + 1)  # the byte after a word gives way to the space
+        at[new + size] = 0
+        out = LOWER[buf[at]]
+        out[new + size] = 0x20
+    return out, new, new + size
+
+
 def shingles(words: np.ndarray, row: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every run of ``k`` words; a row with 1 to k-1 words gives
     its whole sequence as one shingle."""

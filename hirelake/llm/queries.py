@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import ann, decontaminate, jaccard_join, langid, lmscore, packing, secrets, sharding, toxicity, warc
+from hirelake.llm import ann, decontaminate, jaccard_join, langid, lmscore, packing, phrases, secrets, sharding, toxicity, warc
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = toxicity.fit(docs, labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic"), names)
     out = toxicity.score(docs, chain, categories=names)
     return out.withColumn("toxic", F.coalesce(F.col("p_toxic") >= toxicity.THRESHOLD, F.lit(False)))
+
+
+@register("op11_phrases", phrases.oracle_sql())
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of 2 to 4 words of each language."""
+    return phrases.collocations(C.table(spark, sf_dir, "documents"))
