@@ -1,6 +1,7 @@
 """Helpers shared by the training-data operators.
 
-* ``stored``: write a frame once to the shared scratch folder and read it back.
+* ``stored``: write a frame once to the shared scratch folder and read it back;
+  ``consumed``: a block at whose end the frames stored in it are removed.
 * ``small_batches``: bounded Arrow batches where whole documents pass Python.
 * ``text_blocks`` / ``word_hashes`` / ``shingles``: numpy over Arrow string
   buffers, a bounded block of bytes at a time; no Python string per word.
@@ -13,14 +14,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hirelake.session import scratch_path
+from hirelake.session import checkpoint_root, scratch_path
 
 BLOCK_BYTES = 1 << 20
 HOT_MAX = 2000  # at most this many keys are ever treated as hot
@@ -39,13 +41,53 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_SCOPES: list[list[str]] = []  # folders written in the open ``consumed`` blocks
+
+
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stored`` wrote."""
+    if f"{checkpoint_root(spark)}/hirelake/" not in path:
+        raise ValueError(f"not a stored intermediate: {path}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def consumed(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Whatever is stored inside is removed at the end, but for what the yielded
+    function stores: the results, which belong to the block around, if any.
+
+    >>> with consumed(spark) as keep:
+    ...     out = keep(work(stored(rows, "rows")), "result")
+    """
+    own: list[str] = []
+    results: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = stored(df, name)
+        results.append(own.pop())
+        return out
+
+    _SCOPES.append(own)
+    try:
+        yield keep
+    finally:
+        _SCOPES.pop()
+        for path in own:
+            remove(spark, path)
+        if _SCOPES:
+            _SCOPES[-1].extend(results)
+
+
 # --- ranks and joins ------------------------------------------------------
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], out: str = "rank",

@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
 
-CHUNK = 4_000_000          # runs counted in a map task before they are passed on
-TEXT_CHUNK = 16 << 20      # bytes of text whose frequent runs are materialised at once
+CHUNK = 1_500_000          # runs counted in a map task before they are passed on
+TEXT_CHUNK = 4 << 20       # bytes of text whose frequent runs are materialised at once
 BITS_MAX = 27              # the bitmap of frequent fingerprints has at most 2^27 bits (16 MB)
-COMPARE = 200_000          # occurrences compared with their first one at once
+COMPARE = 100_000          # occurrences compared with their first one at once
 
 ENDS = np.zeros(256, bool)
 ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm import common as C
-from hirelake.llm import ann, decontaminate, jaccard_join, langid, lmscore, packing, phrases, secrets, sharding, toxicity, warc
+from hirelake.llm import (
+    align, ann, decontaminate, jaccard_join, langid, lmscore, packing, phrases, secrets, sharding, simhash, toxicity, warc)
 from hirelake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +109,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 best collocations of 2 to 4 words of each language."""
     return phrases.collocations(C.table(spark, sf_dir, "documents"))
+
+
+@register("op12_simhash")
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose SimHash fingerprints differ in at most 3 bits."""
+    return simhash.near_duplicates(C.table(spark, sf_dir, "documents"), k=3, radius=3)
+
+
+@register("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of a byte-level and a sentence-piece tokenizer on every text."""
+    return align.aligned(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                         public_tokenizers.path("piece_bpe_32k.model"))
