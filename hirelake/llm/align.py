@@ -193,7 +193,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
         enc = encoder(path_a, path_b)
         kinds = [_dtype(len(enc.bytes_a)), _dtype(len(enc.bytes_b))]
         for batch in batches:
-            parts: tuple[list, list] = ([], [])
+            parts: list[list[bytes]] = [[], []]
             for _, _, buf, off in C.text_blocks(batch.column(2)):
                 got = enc.block(*_with_space(buf, off))
                 for k in range(2):
@@ -385,7 +385,6 @@ def _scored(rows: DataFrame, long: list[np.ndarray], table: tuple[np.ndarray, np
 def _tables(counts: DataFrame, vocab_b: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(pairs, counts, whether highest of its A id) in blocks of bounded size,
     each the pairs of a range of A ids."""
-    a = (F.col("pair") / F.lit(vocab_b)).cast("long")
     a = F.expr(f"pair div {vocab_b}")
     top = counts.groupBy(a.alias("a")).agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("pairs"))
     top = C.stored(top, "highest-counts")  # a row per A id
