@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
+from hirelake.operators import silver as S
+from hirelake.operators.strategy import materialize
 
 
 def _trend_filter(df: DataFrame, key: str, month: dt.date | str | None, text: str | None) -> DataFrame:
@@ -44,6 +46,33 @@ def jobs_enriched(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     return bronze.join(s, bronze["id"] == s["s_job_id"], "left")
 
 
+def enriched_rows(bronze: DataFrame) -> DataFrame:
+    """JN1 where silver would be made from this bronze: the same rows and columns as
+    ``jobs_enriched``, by one projection instead of a join of the table with itself."""
+    rows = S.silver_jobs(bronze, carry=bronze.columns)
+    silver = [c for c in rows.columns if not c.startswith("b_")]
+    return rows.select(*[F.col(f"b_{c}").alias(c) for c in bronze.columns], *[F.col(c).alias(f"s_{c}") for c in silver])
+
+
+def jobs_page_of(bronze: DataFrame, page: int = 1, page_size: int = 50, source: str | None = None,
+                 seniority: str | None = None, min_salary: float | None = None) -> DataFrame:
+    """FLT5 over postings whose silver columns are computed on the way: for the rows of
+    the page only, unless a filter needs them before."""
+    if not 1 <= page_size <= 200 or page < 1:
+        raise ValueError(f"page {page} of {page_size} rows: pages start at 1 and hold 1 to 200 rows")
+    order = [F.desc("publication_date"), F.asc("id")]
+    df = bronze.filter(F.col("source") == source) if source else bronze
+    late = seniority is not None or min_salary is not None
+    if late:
+        df = enriched_rows(df)
+        if seniority:
+            df = df.filter(F.col("s_seniority").ilike(seniority))
+        if min_salary is not None:
+            df = df.filter(F.col("s_salary_max") >= F.lit(float(min_salary)))
+    df = df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
+    return df if late else enriched_rows(df).orderBy(*order)
+
+
 def jobs_page(bronze: DataFrame, silver: DataFrame, page: int = 1, page_size: int = 50,
               source: str | None = None, seniority: str | None = None,
               min_salary: float | None = None) -> DataFrame:
@@ -166,6 +195,20 @@ def stats_overview(bronze: DataFrame, dead_letters: DataFrame, gold_country: Dat
     )
 
 
+def stats_of(seen: dict, silver: DataFrame) -> DataFrame:
+    """AGG10 from metrics observed while the postings were written, and one scan of
+    silver for the distinct countries and skills."""
+    kinds = F.transform("tags", lambda t: F.struct(F.lit("skill").alias("kind"), t.alias("v")))
+    kinds = F.concat(F.array(F.struct(F.lit("country").alias("kind"), F.col("country").alias("v"))), kinds)
+    each = silver.select("country", "tags").select(F.inline(kinds)).distinct()
+    return each.agg(F.count(F.when(F.col("kind") == "country", F.col("v"))).alias("total_countries"),
+                    F.count(F.when(F.col("kind") == "skill", F.col("v"))).alias("total_skills")).select(
+        F.lit(seen["total_jobs"]).cast("long").alias("total_jobs"),
+        F.lit(list(seen["sources"] or [])).cast("array<string>").alias("sources"),
+        F.lit(seen["earliest_job"]).cast("date").alias("earliest_job"), F.lit(seen["latest_job"]).cast("date").alias("latest_job"),
+        F.lit(seen["total_dead_letters"]).cast("long").alias("total_dead_letters"), "total_countries", "total_skills")
+
+
 def stats_overview_silver(silver: DataFrame, gold_skill: DataFrame) -> DataFrame:
     """AGG11: offline flavour from silver (lower-cased sources)."""
     return silver.agg(
@@ -213,6 +256,19 @@ def role_month_matrix(gold_role: DataFrame, n: int = 15) -> DataFrame:
     )
 
 
+def role_month_table(gold_role: DataFrame, n: int = 15) -> DataFrame:
+    """TOP8: the top roles' counts with a column per month, missing cells 0.
+
+    The months come first (bounded by the calendar), so the pivot is one
+    aggregation with known columns.
+    """
+    top = top_by_total(gold_role, "role", min(15, n)).select("role")
+    counts = materialize(gold_role.join(F.broadcast(top), "role", "left_semi"))
+    months = [r[0] for r in counts.select("published_month").distinct().orderBy("published_month").collect()]
+    table = counts.groupBy("role").pivot("published_month", months).agg(F.sum("job_count"))
+    return table.fillna(0)
+
+
 def country_ranking(gold_country: DataFrame, n: int = 50) -> DataFrame:
     """TOP9: totals with 1-based rank, first n.
 

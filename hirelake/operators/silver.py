@@ -20,8 +20,9 @@ SILVER_COLUMNS = [
 ]
 
 
-def silver_jobs(bronze: DataFrame) -> DataFrame:
-    """SIL8: one enriched row per bronze posting.
+def silver_jobs(bronze: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """SIL8: one enriched row per bronze posting; ``carry``: bronze columns that are
+    passed on under a ``b_`` name, for readers of both layers.
 
     Three stacked projections (Catalyst keeps them apart because the
     staged expressions are used several times and are not cheap): the
@@ -39,6 +40,7 @@ def silver_jobs(bronze: DataFrame) -> DataFrame:
         enrich.published_month(ts).alias("published_month"),
         enrich.salary_text(F.col("salary"), F.col("description")).alias("_stext"),
         enrich.seniority_text(F.col("title"), F.col("description")).alias("_stitle"),
+        *[F.col(c).alias(f"b_{c}") for c in carry],
     )
     staged = staged.select("*", enrich.salary_is_hourly(F.col("_stext")).alias("_hourly"))
     valued = staged.select("*", enrich.salary_values(F.col("_stext"), F.col("_hourly")).alias("_vals"))
@@ -49,6 +51,7 @@ def silver_jobs(bronze: DataFrame) -> DataFrame:
         sal["salary_min"].alias("salary_min"), sal["salary_max"].alias("salary_max"),
         sal["salary_currency"].alias("salary_currency"),
         enrich.seniority_of(F.col("_stitle")).alias("seniority"),
+        *[f"b_{c}" for c in carry],
     )
 
 

@@ -10,7 +10,7 @@ tasks instead of one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from hirelake.session import scratch_path
@@ -46,6 +46,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """(stored ``df``, metrics): aggregates collected while it is written, no second scan."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, *[c.alias(name) for name, c in metrics.items()]))
+    return stored, seen.get
+
+
 def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread a scan over at least one task per core.
 
@@ -84,3 +91,12 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salt_by: str,
     s = small.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), ways - 1))).drop("_ways")
     return b.join(s, [key, "_salt"]).drop("_salt")
+
+
+def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int, salt: int = 16, salt_by: str = "job_id") -> DataFrame:
+    """Exact top-k per key in two phases (salted partial top-k, then final); ``_r``: the rank."""
+    salted = df.withColumn("_s", F.pmod(F.xxhash64(F.col(salt_by)), F.lit(salt)))
+    w1 = Window.partitionBy(key, "_s").orderBy(*order)
+    part = salted.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k).drop("_s")
+    w2 = Window.partitionBy(key).orderBy(*order)
+    return part.withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= k)

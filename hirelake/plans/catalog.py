@@ -238,6 +238,14 @@ def q_role_month_pivot(spark, sf):
     return SV.role_month_matrix(L.gold(spark, sf, "role"), 15)
 
 
+@register("role_month_matrix", O.with_layers(
+    "PIVOT (SELECT role, published_month, job_count FROM gold_role WHERE role IN (SELECT role FROM ("
+    + _top_sql("gold_role", "role", 15) + "))) ON published_month USING coalesce(sum(job_count), 0) GROUP BY role", upto="gold"))
+def q_role_month_matrix(spark, sf):
+    """TOP8 with a column per month."""
+    return SV.role_month_table(L.gold(spark, sf, "role"), 15)
+
+
 @register("country_ranking", O.with_layers(
     "SELECT country, total, row_number() OVER (ORDER BY total DESC, country) AS rank FROM ("
     + _top_sql("gold_country", "country", 50) + ")", upto="gold"))
@@ -269,7 +277,8 @@ def q_skill_options(spark, sf):
 # --- dead letters (SNK2, DL1-DL7) ------------------------------------------------
 
 from hirelake.operators import deadletter as DL  # noqa: E402
-from hirelake.operators.strategy import materialize  # noqa: E402
+from hirelake.operators import silver as SI  # noqa: E402
+from hirelake.operators.strategy import materialize, observed  # noqa: E402
 
 AS_OF = "2001-09-01 00:00:00"
 
@@ -372,11 +381,15 @@ def q_ingest_summary(spark, sf):
     "(SELECT count(DISTINCT country) FROM gold_country) AS total_countries, "
     "(SELECT count(DISTINCT skill) FROM gold_skill) AS total_skills"))
 def q_stats_overview(spark, sf):
-    """AGG10."""
-    sv = L.silver(spark, sf)
-    from hirelake.operators import gold as G
-    return SV.stats_overview(L.bronze(spark, sf), _dead(spark, sf), G.gold_country_trends(sv),
-                             G.gold_skill_trends(sv))
+    """AGG10: raw postings are validated and stored once, counted on the way; silver's
+    distinct countries and skills come from one scan of what was stored."""
+    ok = F.col("error_message").isNull()
+    checked, seen = observed(L.validated(spark, sf, fields={"candidate_required_location", "tags"}), {
+        "total_jobs": F.count(F.when(ok, F.col("id"))), "sources": F.sort_array(F.collect_set(F.when(ok, F.col("source")))),
+        "earliest_job": F.to_date(F.min(F.when(ok, F.col("publication_date")))),
+        "latest_job": F.to_date(F.max(F.when(ok, F.col("publication_date")))),
+        "total_dead_letters": F.count_if(~ok)})
+    return SV.stats_of(seen, SI.silver_jobs(V.valid_rows(checked)))
 
 
 @register("stats_overview_silver", O.with_layers(
@@ -398,16 +411,11 @@ def q_stats_overview_silver(spark, sf):
     "SELECT 'gold_role_trends', count(*) FROM gold_role UNION ALL "
     "SELECT 'gold_time_trends', count(*) FROM gold_time", upto="gold"))
 def q_transform_summary(spark, sf):
-    """AGG6."""
-    from hirelake.operators import gold as G
-    b = L.bronze(spark, sf)
-    sv = L.silver(spark, sf)
-    return G.transform_summary(b, sv, {
-        "gold_country_trends": G.gold_country_trends(sv),
-        "gold_skill_trends": G.gold_skill_trends(sv),
-        "gold_role_trends": G.gold_role_trends(sv),
-        "gold_time_trends": G.gold_time_trends(sv),
-    })
+    """AGG6: every layer is stored once and its rows counted while it is written."""
+    _, seen = L.written(spark, sf, {t: {"n": F.count(F.lit(1))} for t in ["bronze_jobs", "silver_jobs", *L.GOLD]},
+                        {"candidate_required_location", "tags"})
+    return spark.createDataFrame([(t, m["n"]) for t, m in seen.items()], "table_name STRING, row_count LONG")
+
 
 from hirelake.plans import catalog_match  # noqa: E402,F401
 from hirelake.plans import catalog_more  # noqa: E402,F401

@@ -8,14 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hirelake.operators import changes as C
 from hirelake.operators import validate as V
 from hirelake.plans import jobs as J
 from hirelake.plans import layers as L
 from hirelake.plans import oracle as O
 from hirelake.plans import sinks
 from hirelake.plans.catalog import register
+from hirelake.plans.catalog_match import BOOKMARKS_SQL
+from hirelake.plans.versioned import Table
+from hirelake.plans.views import KEYS as VIEW_KEYS
 from hirelake.session import scratch_path
+from hirelake.sources import landed as LD
 from hirelake.sources import landing as LG
+from hirelake.sources import testdata as TD
 from hirelake.streaming import ingest as ST
 
 
@@ -38,12 +44,46 @@ def _update_batch(spark, sf):
     "ELSE b.title END AS title, b.ingested_at FROM bronze b", upto="bronze"))
 def q_bronze_upsert(spark, sf):
     """SNK1: re-delivered postings replace bronze rows; first ingested_at is kept."""
-    root = scratch_path(spark, "bronze")
-    sinks.write_table(L.bronze(spark, sf), root)
-    merged = sinks.upsert(sinks.read_table(spark, root), _update_batch(spark, sf), "id", "_seq",
-                          keep_first=["ingested_at"])
-    sinks.write_table(merged, root)
-    return sinks.read_table(spark, root).select("id", "title", "ingested_at")
+    table = Table(spark, scratch_path(spark, "bronze"))
+    table.refresh(L.bronze(spark, sf))
+    table.upsert(_update_batch(spark, sf), "_seq", keep_first=["ingested_at"])
+    return table.read().select("id", "title", "ingested_at")
+
+
+_SMALL_BATCH = "id >= (SELECT max(o_orderkey) FROM orders) * 99 / 100"
+
+
+@register("bronze_upsert_small", O.with_layers(
+    f"SELECT id, CASE WHEN {_SMALL_BATCH} THEN title || ' (late)' ELSE title END AS title, ingested_at, "
+    f"{_SMALL_BATCH} AS changed FROM bronze", upto="bronze"))
+def q_bronze_upsert_small(spark, sf):
+    """SNK1: a batch of the last hundredth of the keys; the change feed names its rows."""
+    table = Table(spark, scratch_path(spark, "bronze"))
+    first = table.refresh(L.bronze(spark, sf))
+    last = spark.read.parquet(f"{sf}/orders.parquet").agg((F.max("o_orderkey") * 99 / 100).alias("k")).scalar()
+    late = table.read().filter(F.col("id") >= last).withColumns({
+        "title": F.concat("title", F.lit(" (late)")), "ingested_at": F.col("ingested_at") + F.expr("INTERVAL 9 DAYS"),
+        "_seq": F.lit(1)})
+    now = table.upsert(late, "_seq", keep_first=["ingested_at"])
+    feed = table.changes(first, now).filter("old.title <> new.title").select("key", F.lit(True).alias("changed"))
+    rows = table.read().select("id", "title", "ingested_at")
+    return rows.join(feed, rows["id"] == feed["key"], "left").select(
+        "id", "title", "ingested_at", F.coalesce("changed", F.lit(False)).alias("changed"))
+
+
+@register("bronze_compact", O.with_layers(
+    "SELECT id, CASE WHEN id % 8 = 0 THEN title ELSE title || ' (' || CAST(id % 8 AS VARCHAR) || ')' END AS title FROM bronze",
+    upto="bronze"))
+def q_bronze_compact(spark, sf):
+    """SNK1: seven upserts merged into the base files."""
+    table = Table(spark, scratch_path(spark, "bronze"))
+    table.refresh(L.bronze(spark, sf))
+    rows = table.read()
+    for k in range(1, 8):
+        table.upsert(rows.filter(F.col("id") % 8 == k).withColumns({
+            "title": F.concat("title", F.lit(f" ({k})")), "_seq": F.lit(k)}), "_seq")
+    table.compact()
+    return table.read().select("id", "title")
 
 
 @register("table_refresh", O.with_layers("SELECT * FROM gold_time", upto="gold"))
@@ -91,6 +131,28 @@ def q_snapshot_copy(spark, sf):
     return sinks.snapshot_copy(spark, tables, scratch_path(spark, "snapshot-dst"))
 
 
+_NINE = {
+    "bronze_jobs": "bronze", "bronze_jobs_dead_letter": "dead", "silver_jobs": "silver", "gold_country_trends": "gold_country",
+    "gold_skill_trends": "gold_skill", "gold_role_trends": "gold_role", "gold_time_trends": "gold_time",
+    "email_subscriptions": "subs", "bookmarked_jobs": "bookmarks"}
+
+
+@register("snapshot_copy_all", "WITH " + ",".join([O.RAW, O.VALIDATED, O.BRONZE, O.SILVER, O.GOLD, O.DEAD, O.SUBSCRIPTIONS, BOOKMARKS_SQL])
+          + " " + " UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {v}) AS src_rows, "
+                                     f"(SELECT count(*) FROM {v}) AS dst_rows, true AS same_content" for t, v in _NINE.items()))
+def q_snapshot_copy_all(spark, sf):
+    """SNK5: all nine tables copied, their contents compared by fingerprints."""
+    t = J.Tables(scratch_path(spark, "snapshot-src"))
+    J.ingest(spark, L.raw(spark, sf), t)
+    J.run_transformations(spark, t)
+    tables = {n: sinks.read_table(spark, t.path(n)) for n in _NINE if n not in (
+        "bronze_jobs_dead_letter", "email_subscriptions", "bookmarked_jobs")}
+    tables["bronze_jobs_dead_letter"] = J.dead_letters(spark, t)
+    tables["email_subscriptions"] = C.subscription_state(TD.subscription_events(spark, sf))
+    tables["bookmarked_jobs"] = C.bookmark_state(TD.bookmark_events(spark, sf))
+    return sinks.verified_copy(spark, tables, scratch_path(spark, "snapshot-dst"))
+
+
 @register("run_transformations", O.with_layers(
     "SELECT 'bronze_jobs' AS table_name, count(*) AS row_count FROM bronze UNION ALL "
     "SELECT 'silver_jobs', count(*) FROM silver UNION ALL "
@@ -135,6 +197,24 @@ def q_backfill_twice(spark, sf):
         again.select("recovered").scalar().alias("recovered_again"))
 
 
+@register("dead_letter_replay", O.with_layers(
+    "SELECT id, url, error_message FROM ("
+    "SELECT coalesce(id, '') AS id, coalesce(url, '') AS url, coalesce("
+    + O.rules_sql("coalesce(id, '')", "coalesce(url, '')", "coalesce(title, '')", "coalesce(company_name, '')", "'kaggle'")
+    + ", NULL) AS error_message FROM raw) WHERE error_message IS NOT NULL", upto="validated"))
+def q_dead_letter_replay(spark, sf):
+    """SNK2: half of the CSV postings are ingested, a second file lands, all are ingested
+    again; every failing record is stored once."""
+    raw, path = L.raw(spark, sf), scratch_path(spark, "csv")
+    t = J.Tables(scratch_path(spark, "replay"))
+    for n in range(2):
+        LG.land_csv(raw.filter(F.col("_pos") % 2 == n), f"{path}/{1 - n}")
+        J.ingest(spark, LD.src_csv(spark, f"{path}/*").drop("source"), t, "kaggle")
+    dead = spark.read.parquet(t.path("bronze_jobs_dead_letter"))
+    return dead.select(F.get_json_object("raw_data", "$.id").alias("id"), F.get_json_object("raw_data", "$.url").alias("url"),
+                       "error_message")
+
+
 @register("stream_dead_letters", O.with_dead("SELECT p_id, error_message FROM dead"))
 def q_stream_dead_letters(spark, sf):
     """STR1 / STR3: dead letters of the same files ingested twice; each is stored once."""
@@ -169,7 +249,37 @@ def q_stream_ingest(spark, sf):
 def q_stream_gold(spark, sf):
     """STR2: gold time trends refreshed by the stream's micro-batches."""
     t = _stream_bronze(spark, sf)
-    return sinks.read_table(spark, t.path("gold_time_trends"))
+    return ST.gold(spark, t, "gold_time_trends")
+
+
+@register("stream_gold_updates", (lambda moved: O.with_layers(
+    "SELECT view, key, published_month, count(*) AS job_count FROM ("
+    + " UNION ALL ".join(f"SELECT '{v}' AS view, {k} AS key, published_month FROM {moved}" for v, k in (
+        ("gold_country_trends", "country"), ("gold_role_trends", "role"), ("gold_time_trends", "CAST(NULL AS VARCHAR)")))
+    + f" UNION ALL SELECT 'gold_skill_trends', unnest(tags), published_month FROM {moved}) GROUP BY ALL"))(
+        "(SELECT CASE WHEN job_id % 14 = 0 THEN 'Atlantis' ELSE country END AS country, role, tags, "
+        "CASE WHEN job_id % 7 = 0 THEN CAST(date_trunc('month', publication_date + INTERVAL 40 DAY) AS DATE) "
+        "ELSE published_month END AS published_month FROM silver)"))
+def q_stream_gold_updates(spark, sf):
+    """STR2: later files move every seventh posting 40 days on and every fourteenth to
+    another country; all four gold tables follow."""
+    raw = L.raw(spark, sf)
+    landing, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "stream-ckpt")
+    t = J.Tables(scratch_path(spark, "stream-tables"))
+    k = F.col("_pos")
+    later = raw.filter(k % 7 == 0).withColumns({
+        "publication_date": F.date_format(F.to_timestamp("publication_date") + F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        "candidate_required_location": F.when(k % 14 == 0, "Atlantis").otherwise(F.col("candidate_required_location"))})
+    for n, rows in enumerate((raw, later)):
+        LG.land_envelopes(rows, f"{landing}/{n}", page_size=500, with_drops=False)
+        ST.run_until_idle(ST.start_ingest(spark, f"{landing}/*", t, ckpt, max_files=4))
+    parts = [ST.gold(spark, t, v) for v in VIEW_KEYS]
+    out = None
+    for (view, key), part in zip(VIEW_KEYS.items(), parts):
+        part = part.select(F.lit(view).alias("view"), (F.col(key) if key else F.lit(None).cast("string")).alias("key"),
+                           "published_month", "job_count")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("stream_idempotence", _STREAM_SQL)

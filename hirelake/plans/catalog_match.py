@@ -8,7 +8,8 @@ from hirelake.functions import fixed
 from hirelake.operators import alerts as A
 from hirelake.operators import changes as C
 from hirelake.operators import matching as M
-from hirelake.operators import serving as SV
+from hirelake.operators import topk as K
+from hirelake.operators.strategy import materialize
 from hirelake.plans import layers as L
 from hirelake.plans import oracle as O
 from hirelake.plans.catalog import register
@@ -81,6 +82,40 @@ def q_recommend_top_n(spark, sf):
     return M.recommend_top_n(scored, 10).withColumn("tier", M.match_tier(F.col("match_percent")))
 
 
+_ALL_RANKED = (
+    "SELECT *, row_number() OVER (PARTITION BY resume_id ORDER BY score DESC, match_percent DESC, "
+    "publication_date DESC, job_id) AS rank FROM scored")
+_TIER = (f"CASE WHEN match_percent >= {fixed.TIER_STRONG} THEN 'strong' WHEN match_percent >= {fixed.TIER_GOOD} "
+         "THEN 'good' ELSE 'weak' END AS tier")
+
+
+def _over_all(body: str) -> str:
+    """SQL over the scores of all postings instead of the newest ones."""
+    return O.with_resumes(body).replace(f"LIMIT {fixed.CANDIDATE_JOBS}", "")
+
+
+def _top_all(spark, sf, n: int = 10):
+    skills = M.resume_skill_frame(TD.resumes(spark, sf))
+    return K.top_matches(skills, L.bronze(spark, sf, {"tags"}), n)
+
+
+@register("recommend_top_n_all", _over_all(
+    f"SELECT r.resume_id, r.job_id, r.publication_date, r.score, r.match_percent, r.rank, {_TIER}, b.title, b.company_name, "
+    "b.source, b.url, b.tags, s.salary_min, s.salary_max, s.salary_currency, s.seniority "
+    f"FROM ({_ALL_RANKED}) r JOIN bronze b ON b.id = r.job_id LEFT JOIN silver s ON s.job_id = r.job_id WHERE rank <= 10"))
+def q_recommend_top_n_all(spark, sf):
+    """REC4 over all postings, with what a reader is shown of each."""
+    top = _top_all(spark, sf).withColumn("tier", M.match_tier(F.col("match_percent")))
+    return K.with_display(materialize(top), L.enriched(spark, sf))
+
+
+@register("match_tier_all", _over_all(
+    f"SELECT resume_id, job_id, match_percent, {_TIER} FROM ({_ALL_RANKED}) WHERE rank <= 10"))
+def q_match_tier_all(spark, sf):
+    """REC5 of the best of all postings."""
+    return _top_all(spark, sf).select("resume_id", "job_id", "match_percent", M.match_tier(F.col("match_percent")).alias("tier"))
+
+
 def _dict_terms_sql() -> str:
     hits = ", ".join(
         f"CASE WHEN regexp_matches({O._ascii_words('lower(text)')}, '\\b{t}\\b') THEN '{t}' END"
@@ -209,7 +244,7 @@ def _alert_subs(spark, sf):
 
 def _jobs(spark, sf):
     """Postings with silver display columns (digest only)."""
-    return SV.jobs_enriched(L.bronze(spark, sf), L.silver(spark, sf))
+    return L.enriched(spark, sf)
 
 
 def _postings(spark, sf):
@@ -256,7 +291,14 @@ def q_alert_match(spark, sf):
 def q_alert_summary(spark, sf):
     """ALR4."""
     due = A.alert_due(_alert_subs(spark, sf), _as_of())
-    return A.alert_summary(due, A.alert_match(due, _postings(spark, sf)))
+    return A.alert_summary(due, A.alert_counts(due, _postings(spark, sf)))
+
+
+@register("alerts_sent", O.with_subs("SELECT count(DISTINCT sub_id) AS alerts_sent FROM matches", ALERT_SQL))
+def q_alerts_sent(spark, sf):
+    """ALR4: how many subscribers get an alert."""
+    due = A.alert_due(_alert_subs(spark, sf), _as_of())
+    return A.alerts_sent(A.alert_summary(due, A.alert_counts(due, _postings(spark, sf))))
 
 
 @register("alert_advance_state", O.with_subs(

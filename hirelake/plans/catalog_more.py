@@ -13,13 +13,16 @@ from hirelake.operators import quality as Q
 from hirelake.operators import serving as SV
 from hirelake.operators import silver as S
 from hirelake.operators import validate as V
+from hirelake.operators.strategy import materialize
 from hirelake.plans import layers as L
 from hirelake.plans import oracle as O
 from hirelake.plans.catalog import register
+from hirelake.plans.paging import Pages
+from hirelake.session import scratch_path
 
 
 def _enriched(spark, sf):
-    return SV.jobs_enriched(L.bronze(spark, sf), L.silver(spark, sf))
+    return L.enriched(spark, sf)
 
 
 # --- joins, pages, search (JN1, FLT5-FLT7) ------------------------------------------
@@ -29,8 +32,9 @@ def _enriched(spark, sf):
     "s.seniority AS s_seniority, s.salary_min AS s_salary_min, s.salary_max AS s_salary_max "
     "FROM bronze b LEFT JOIN silver s ON s.job_id = b.id"))
 def q_jobs_enriched(spark, sf):
-    """JN1: bronze LEFT JOIN silver."""
-    return _enriched(spark, sf).select("id", "source", "title", "s_job_id", "s_role", "s_country",
+    """JN1: bronze LEFT JOIN silver, both stored."""
+    bronze = materialize(L.bronze(spark, sf))
+    return SV.jobs_enriched(bronze, materialize(S.silver_jobs(bronze))).select("id", "source", "title", "s_job_id", "s_role", "s_country",
                                         "s_seniority", "s_salary_min", "s_salary_max")
 
 
@@ -47,15 +51,25 @@ def _page_sql(where: str, offset: int, limit: int) -> str:
 @register("jobs_page", _page_sql("", 0, 50))
 def q_jobs_page(spark, sf):
     """FLT5, first page of 50."""
-    return SV.jobs_page(L.bronze(spark, sf), L.silver(spark, sf)).select(*_PAGE_COLS.split(", "))
+    return SV.jobs_page_of(L.bronze(spark, sf)).select(*_PAGE_COLS.split(", "))
+
+
+_DEEP = 200  # the page of the deep query
+
+
+@register("jobs_page_deep", _page_sql("", 20 * (_DEEP - 1), 20))
+def q_jobs_page_deep(spark, sf):
+    """FLT5: a late page of stored postings, read from the files that hold it."""
+    pages = Pages(spark, scratch_path(spark, "job-pages"))
+    pages.build(_enriched(spark, sf).select(*_PAGE_COLS.split(", ")), [("publication_date", True), ("id", False)])
+    return pages.page(_DEEP, 20)
 
 
 @register("jobs_page_filtered", _page_sql(
     "WHERE source = 'remoteok' AND s_seniority ILIKE 'senior' AND s_salary_max >= 100000", 50, 50))
 def q_jobs_page_filtered(spark, sf):
     """FLT5 with source, seniority and salary filters, page 2."""
-    return SV.jobs_page(L.bronze(spark, sf), L.silver(spark, sf), page=2, page_size=50, source="remoteok",
-                        seniority="senior", min_salary=100000).select(*_PAGE_COLS.split(", "))
+    return SV.jobs_page_of(L.bronze(spark, sf), page=2, page_size=50, source="remoteok", seniority="senior", min_salary=100000).select(*_PAGE_COLS.split(", "))
 
 
 def _offline_page_sql(where: str) -> str:
@@ -148,14 +162,7 @@ _GOLD_SRC = {"bronze_jobs": "bronze", "silver_jobs": "silver", "gold_country_tre
              "gold_skill_trends": "gold_skill", "gold_role_trends": "gold_role", "gold_time_trends": "gold_time"}
 
 
-def _gold_tables(spark, sf):
-    sv = L.silver(spark, sf)
-    return sv, {
-        "gold_country_trends": G.gold_country_trends(sv),
-        "gold_skill_trends": G.gold_skill_trends(sv),
-        "gold_role_trends": G.gold_role_trends(sv),
-        "gold_time_trends": G.gold_time_trends(sv),
-    }
+_NARROW = {"candidate_required_location", "tags"}  # what the checked columns are made of
 
 
 @register("check_not_null", O.with_layers(" UNION ALL ".join(
@@ -163,10 +170,10 @@ def _gold_tables(spark, sf):
     + [_nn_sql(t, c) for t, c in Q.GOLD_NOT_NULL.items()]), upto="gold"))
 def q_check_not_null(spark, sf):
     """DQ6."""
-    sv, gold = _gold_tables(spark, sf)
-    tables = {"bronze_jobs": L.bronze(spark, sf), "silver_jobs": sv, **gold}
     cols = {"bronze_jobs": Q.BRONZE_NOT_NULL, "silver_jobs": Q.SILVER_NOT_NULL, **Q.GOLD_NOT_NULL}
-    return Q.not_null_report(tables, cols)
+    _, seen = L.written(spark, sf, {t: {c: F.count_if(F.col(c).isNull()) for c in cs} for t, cs in cols.items()}, _NARROW)
+    return spark.createDataFrame([(t, c, n) for t, m in seen.items() for c, n in m.items()],
+                                 "table_name STRING, column_name STRING, null_count LONG")
 
 
 @register("check_unique", O.with_layers(
@@ -178,9 +185,10 @@ def q_check_not_null(spark, sf):
     "GROUP BY published_month HAVING count(*) > 1))", upto="gold"))
 def q_check_unique(spark, sf):
     """DQ7."""
-    sv, gold = _gold_tables(spark, sf)
-    return Q.unique_report({"bronze_jobs": (L.bronze(spark, sf), "id"), "silver_jobs": (sv, "job_id"),
-                            "gold_time_trends": (gold["gold_time_trends"], "published_month")})
+    none = {t: {"n": F.count(F.lit(1))} for t in ("bronze_jobs", "silver_jobs", "gold_time_trends")}
+    frames, _ = L.written(spark, sf, none, _NARROW)
+    return Q.unique_report({"bronze_jobs": (frames["bronze_jobs"], "id"), "silver_jobs": (frames["silver_jobs"], "job_id"),
+                            "gold_time_trends": (frames["gold_time_trends"], "published_month")})
 
 
 @register("check_accepted_values", O.with_layers(
@@ -190,7 +198,10 @@ def q_check_unique(spark, sf):
     f"source NOT IN ({O._sql_list(fixed.ACCEPTED_SOURCES)})) FROM silver"))
 def q_check_accepted_values(spark, sf):
     """DQ8."""
-    return Q.accepted_values_report({"bronze_jobs": L.bronze(spark, sf), "silver_jobs": L.silver(spark, sf)})
+    bad = F.count_if(F.col("source").isNotNull() & ~F.col("source").isin(*fixed.ACCEPTED_SOURCES))
+    _, seen = L.written(spark, sf, {"bronze_jobs": {"n": bad}, "silver_jobs": {"n": bad}}, _NARROW)
+    return spark.createDataFrame([(t, "source", m["n"]) for t, m in seen.items()],
+                                 "table_name STRING, column_name STRING, failing_rows LONG")
 
 
 # --- SQL flavour, offline flavour (SIL9, AGG3, OFF1, OFF2) ----------------------------

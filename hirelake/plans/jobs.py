@@ -20,6 +20,7 @@ from hirelake.operators import gold as G
 from hirelake.operators import silver as S
 from hirelake.operators import validate as V
 from hirelake.plans import sinks
+from hirelake.plans.versioned import Table
 from hirelake.sources.landed import path_has_data
 
 
@@ -32,6 +33,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def bronze(self, spark: SparkSession) -> Table:
+        """The bronze table: upserts by posting id, merged on read."""
+        return Table(spark, self.path("bronze_jobs"), "id")
+
 
 GOLD_TABLES = {
     "gold_country_trends": G.gold_country_trends,
@@ -53,10 +58,8 @@ def ingest(spark: SparkSession, raw: DataFrame, t: Tables, run_source: str = fix
                              else F.xxhash64(*raw.columns))
     V.validate(raw, run_source, ingested_at).write.mode("overwrite").parquet(staged)
     checked = spark.read.parquet(staged)
-    existing = sinks.read_table(spark, t.path("bronze_jobs"))
     valid = checked.filter(F.col("error_message").isNull()).select(*V.BRONZE_COLUMNS, "_pos")
-    merged = sinks.upsert(existing, valid, "id", "_pos", keep_first=["ingested_at"])
-    sinks.write_table(merged.select(*V.BRONZE_COLUMNS), t.path("bronze_jobs"))
+    t.bronze(spark).upsert(valid, "_pos", keep_first=["ingested_at"])
     sinks.append_new(V.dead_letters(checked, run_source), t.path("bronze_jobs_dead_letter"))
     return V.ingest_summary(checked, run_source)
 
@@ -101,10 +104,8 @@ def backfill(spark: SparkSession, t: Tables, limit: int | None = 100, now: Colum
     staged = t.path(f"_staging/retry-{run}")
     DL.retry(dead_letters(spark, t), limit).write.parquet(staged)
     retried = spark.read.parquet(staged)
-    bronze = sinks.read_table(spark, t.path("bronze_jobs"))
     recovered = retried.filter("recoverable").select(*V.BRONZE_COLUMNS, "_dl_id")
-    merged = sinks.upsert(bronze, recovered, "id", "_dl_id", keep_first=["ingested_at"])
-    sinks.write_table(merged, t.path("bronze_jobs"))
+    t.bronze(spark).upsert(recovered, "_dl_id", keep_first=["ingested_at"])
     DL.outcomes(retried, run, now).write.mode("append").parquet(t.path("bronze_jobs_dead_letter_outcomes"))
     return DL.backfill_summary(retried)
 

@@ -1,17 +1,20 @@
 """Layer builders over the driver's tables: raw -> bronze -> silver -> gold.
 
-These are lazy DataFrames; nothing is materialised here.  Batch jobs that
-reuse a layer several times write it once (``hirelake.plans.jobs``).
+These are lazy DataFrames; ``written`` stores each layer once and collects counts
+on the way, for reports that read several of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
 from hirelake.operators import gold as G
 from hirelake.operators import silver as S
+from hirelake.operators import serving as SV
 from hirelake.operators import validate as V
+from hirelake.operators.strategy import observed
 from hirelake.sources import testdata
 
 
@@ -47,3 +50,25 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         "role": G.gold_role_trends,
         "time": G.gold_time_trends,
     }[name](sv)
+
+
+GOLD = {"gold_country_trends": G.gold_country_trends, "gold_skill_trends": G.gold_skill_trends,
+        "gold_role_trends": G.gold_role_trends, "gold_time_trends": G.gold_time_trends}
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows with their silver columns (``s_``), derived once."""
+    return SV.enriched_rows(bronze(spark, sf_dir))
+
+
+def written(spark: SparkSession, sf_dir: str, metrics: dict[str, dict[str, Column]],
+            fields: set[str] | None = None) -> tuple[dict[str, DataFrame], dict[str, dict]]:
+    """Bronze, silver and the gold tables, each stored once from the one before, and
+    per layer the ``metrics`` observed while it was written."""
+    frames, seen = {}, {}
+    frames["bronze_jobs"], seen["bronze_jobs"] = observed(bronze(spark, sf_dir, fields), metrics["bronze_jobs"])
+    frames["silver_jobs"], seen["silver_jobs"] = observed(S.silver_jobs(frames["bronze_jobs"]), metrics["silver_jobs"])
+    for name, build in GOLD.items():
+        if name in metrics:
+            frames[name], seen[name] = observed(build(frames["silver_jobs"]), metrics[name])
+    return frames, seen

@@ -1,64 +1,50 @@
-"""Table writes: keyed upsert, versioned refresh, appends, exports (SNK1-SNK5).
-
-Plain Parquet has no MERGE, so every table is a folder of versions
-``<root>/v=<n>``; a write goes to a new version and readers take the
-newest complete one (``_SUCCESS`` present).  A job never overwrites the
-folder it is reading, and a failed write leaves the previous version
-current, so a lost executor or a retried job cannot corrupt a table.
+"""Table writes: refresh, keyed upsert, appends, exports (SNK1-SNK5).
+
+Plain Parquet has no MERGE.  A table is a log of manifests beside its data
+folders (``manifest``): a write goes to a new folder and becomes visible when its
+manifest is committed, so no job overwrites what it reads, a failed write
+leaves the table as it was, and of two writers one wins and the other retries.
+Upserts into stored tables are merge-on-read (``versioned``); ``upsert`` here is the
+same fold over two frames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.plans import manifest as M
+from hirelake.plans.versioned import RETRIES, Table
 from hirelake.sources.landed import path_has_data
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions of a table, oldest first."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            done = st.getPath().suffix("/_SUCCESS")
-            if fs.exists(done):
-                out.append(int(name[2:]))
-    return sorted(out)
-
-
-def current_path(spark: SparkSession, root: str) -> str | None:
-    vs = versions(spark, root)
-    return f"{root}/v={vs[-1]}" if vs else None
+KEEP = 5  # versions of a refreshed table that are kept
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame | None:
-    """Newest complete version of a table, or None when it has none."""
-    path = current_path(spark, root)
-    if path is None:
+    """Newest version of a table, or None when it has none."""
+    m = M.load(spark, root)
+    if m is None:
         return None
-    return spark.read.parquet(path)
+    if "key" in m:
+        return Table(spark, root, m["key"]).read(m["version"])
+    return spark.read.parquet(f"{root}/{m['files'][0]['path']}")
 
 
 def write_table(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """SNK3: full refresh as a new version; returns its path."""
+    """SNK3: full refresh as a new version; returns the path of its data."""
     spark = df.sparkSession
-    vs = versions(spark, root)
-    path = f"{root}/v={(vs[-1] + 1) if vs else 0}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
+    known = M.versions(spark, root)
+    folder = M.data_folder(known[-1] if known else -1)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{root}/{folder}")
+    for _ in range(RETRIES):  # a refresh does not depend on the version before it
+        known = M.versions(spark, root)
+        try:
+            M.commit(spark, root, {"op": "refresh", "files": [{"path": folder}]}, known[-1] + 1 if known else 0)
+            M.expire(spark, root, KEEP)
+            return f"{root}/{folder}"
+        except M.Conflict:
+            continue
+    raise M.Conflict(f"{root}: {RETRIES} tries to commit")
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, key: str = "id",
@@ -122,3 +108,38 @@ def snapshot_copy(spark: SparkSession, tables: dict[str, str], dst_root: str) ->
         df.write.mode("overwrite").parquet(dst)
         rows.append((name, src_rows, spark.read.parquet(dst).count()))
     return spark.createDataFrame(rows, "table_name STRING, src_rows LONG, dst_rows LONG")
+
+
+def fingerprint(df: DataFrame) -> dict[str, Column]:
+    """Row count and an order-independent content fingerprint, as aggregates: the sum
+    and the exclusive or of the rows' hashes (equal rows count as often as they occur)."""
+    row = F.xxhash64(*[F.to_json(c) if t.startswith(("map", "struct")) else F.col(c) for c, t in df.dtypes])
+    return {"rows": F.count(F.lit(1)), "total": F.sum(row.cast("decimal(20,0)")), "mixed": F.bit_xor(row)}
+
+
+def verified_copy(spark: SparkSession, tables: dict[str, DataFrame | None], dst_root: str) -> DataFrame:
+    """SNK5: copy each table (missing and empty ones are skipped) and compare contents.
+
+    The source's fingerprint is observed while it is copied, so it is read once;
+    the copy's is taken from the files written.  Returns (table_name, src_rows,
+    dst_rows, same_content).
+    """
+    rows = []
+    for name, df in tables.items():
+        if df is None or df.isEmpty():
+            continue
+        seen = Observation()
+        dst = f"{dst_root}/{name}"
+        df.observe(seen, *[c.alias(k) for k, c in fingerprint(df).items()]).write.mode("overwrite").parquet(dst)
+        rows.append((name, *_compared(seen.get, spark.read.schema(df.schema).parquet(dst))))
+    return spark.createDataFrame(rows, "table_name STRING, src_rows LONG, dst_rows LONG, same_content BOOLEAN")
+
+
+def _compared(src: dict, copy: DataFrame) -> tuple[int, int, bool]:
+    got = copy.agg(*[c.alias(k) for k, c in fingerprint(copy).items()]).first().asDict()
+    return src["rows"], got["rows"], all(src[k] == got[k] for k in got)
+
+
+def check_copy(src: DataFrame, copy: DataFrame) -> tuple[int, int, bool]:
+    """(rows, rows of the copy, same content) of two stored tables."""
+    return _compared(src.agg(*[c.alias(k) for k, c in fingerprint(src).items()]).first().asDict(), copy)

@@ -24,6 +24,7 @@ from hirelake.functions import fixed
 from hirelake.functions import terms as T
 from hirelake.functions.text import py_strip
 from hirelake.operators.strategy import materialize
+from hirelake.sources.ranges import csv_records, json_records
 
 RAW_SCHEMA = ", ".join(f"{f} STRING" for f in fixed.CANONICAL_FIELDS)
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
@@ -121,9 +122,10 @@ REMOTEOK_SCHEMA = ("id STRING, position STRING, title STRING, company STRING, co
 
 
 def norm_remoteok(spark: SparkSession, path: str) -> DataFrame:
-    """SRC3: array-of-objects source -> canonical raw postings."""
-    df = spark.read.schema(REMOTEOK_SCHEMA).option("multiLine", True).json(path)
-    df = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_idx", F.monotonically_increasing_id())
+    """SRC3: array-of-objects source -> canonical raw postings; ``_idx`` is the byte
+    offset in the file, whatever ranges it was read by."""
+    df = json_records(spark, path).select(
+        "_file", F.col("_offset").alias("_idx"), F.from_json("_rec", REMOTEOK_SCHEMA).alias("j")).select("_file", "_idx", "j.*")
     raw_id = F.regexp_replace(F.col("id"), "^r+", "")
     df = df.filter(_truthy(F.col("id")).isNotNull() & (F.col("id") != "0")).withColumn(
         "_rid", F.when(raw_id.rlike(r"^\d+$"), raw_id.try_cast("bigint"))
@@ -243,18 +245,13 @@ _NO_NULL = "\u0000"
 
 
 def src_csv(spark: SparkSession, path: str) -> DataFrame:
-    """SRC8: header CSV, every column text (id checked by validation)."""
+    """SRC8: header CSV, every column text (id checked by validation); ``_idx`` is the
+    byte offset in the file, whatever ranges it was read by."""
     schema = ", ".join(f"{c} STRING" for c in CSV_COLUMNS)
-    return (
-        spark.read.schema(schema)
-        .option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-        .option("nullValue", _NO_NULL).option("emptyValue", "")
-        .csv(path)
-        .select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in CSV_COLUMNS])
-        .withColumn("_file", F.col("_metadata.file_path"))
-        .withColumn("_line", F.lit(0).cast("long"))
-        .withColumn("_idx", F.monotonically_increasing_id())
-    )
+    options = {"quote": '"', "escape": '"', "nullValue": _NO_NULL, "emptyValue": ""}
+    rows = csv_records(spark, path).select("_file", "_offset", F.from_csv("_rec", schema, options).alias("c"))
+    return rows.select(*[F.coalesce(f"c.{c}", F.lit("")).alias(c) for c in CSV_COLUMNS],
+                       "_file", F.lit(0).cast("long").alias("_line"), F.col("_offset").alias("_idx"))
 
 
 def merge_sources(sources: dict[str, DataFrame]) -> DataFrame:
