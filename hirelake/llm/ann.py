@@ -17,8 +17,7 @@ Defined results: vectors that are null, zero, of another length than the most
 common one or that hold null or non-finite components take no part, as query or
 candidate; repeated ids are candidates once each; equal scores go to the smaller
 id; of more than k + 1 equal vectors only the smallest ids can be among the
-nearest k, so only they are indexed; with at most ``BUCKET`` vectors all buckets
-are visited; an empty table gives an empty result; extra columns are ignored.
+nearest k, so only they are indexed; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -146,6 +145,8 @@ def _brute(cand: DataFrame, qid: np.ndarray, q: np.ndarray, k: int, dim: int) ->
 
 def _visits(x: Index, qid: np.ndarray, q: np.ndarray, truth: pd.DataFrame, recall: float) -> int:
     """Fewest buckets per table with which the sample reaches ``recall``."""
+    if not len(truth):
+        return x.buckets
     row = {int(i): j for j, i in enumerate(qid)}
     at = np.array([row[i] for i in truth["query_id"]])
     v = np.array(truth["vec"].tolist())
@@ -190,7 +191,7 @@ def nearest(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", v
     if not len(sample):
         return empty
     qid, q = sample["vec_id"].to_numpy(), np.array(sample["vec"].tolist())
-    visits = x.buckets if n <= BUCKET else _visits(x, qid, q, _brute(cand, qid, q, k, dim), recall)
+    visits = _visits(x, qid, q, _brute(cand, qid, q, k, dim), recall)
     shared = spark.sparkContext.broadcast(x)
 
     def hashed(query: bool):
@@ -220,25 +221,31 @@ def nearest(df: DataFrame, is_query: str, k: int = 20, id_col: str = "vec_id", v
     # tables x buckets rows: a number of the index, about n / BUCKET of it
     entries = entries.join(chunks, ["table", "bucket"]).select(
         "table", "bucket", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int").alias("chunk"), "vec_id", "vec")
+    probes = C.stored(C.spread_scan(queries).mapInArrow(hashed(True), schema), "probes")
+    asked = C.stored(probes.groupBy("table", "bucket").agg(
+        F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts")), "query-parts")
+    # a chunk of a bucket meets each part of the bucket's queries in a task of its own
     ways = chunks.select("table", "bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    probes = C.spread_scan(queries).mapInArrow(hashed(True), schema).join(ways, ["table", "bucket"])
+    probes = probes.join(asked, ["table", "bucket"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+    probes = probes.drop("parts").join(ways, ["table", "bucket"])
+    entries = entries.join(asked, ["table", "bucket"]).withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def search(_key, ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         if not len(ours) or not len(theirs):
             return none
-        v, vid = np.array(ours["vec"].tolist()), ours["vec_id"].to_numpy()
-        out = [none]
+        v, vid = np.stack(ours["vec"].to_numpy()), ours["vec_id"].to_numpy()
+        out = []
         for lo in range(0, len(theirs), 1024):
             part = theirs.iloc[lo: lo + 1024]
-            qs, ids = np.array(part["vec"].tolist()), part["vec_id"].to_numpy()
+            qs, ids = np.stack(part["vec"].to_numpy()), part["vec_id"].to_numpy()
             rough = qs @ v.T
-            for j, i in enumerate(ids.tolist()):
-                at, s = _best(qs[j], i, v, vid, rough[j], k)
-                out.append(pd.DataFrame({"query_id": np.full(len(at), i), "vec_id": vid[at], "score": s}))
-        return pd.concat(out, ignore_index=True)
+            out += [(i, *_best(qs[j], i, v, vid, rough[j], k)) for j, i in enumerate(ids.tolist())]
+        return pd.DataFrame({"query_id": np.repeat([i for i, _, _ in out], [len(at) for _, at, _ in out]),
+                             "vec_id": vid[np.concatenate([at for _, at, _ in out])], "score": np.concatenate([s for *_, s in out])})
 
-    key = ["table", "bucket", "chunk"]
+    key = ["table", "bucket", "chunk", "part"]
     found = entries.groupBy(*key).cogroup(probes.groupBy(*key)).applyInPandas(
         search, "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

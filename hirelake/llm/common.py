@@ -64,7 +64,8 @@ def remove(spark: SparkSession, path: str) -> None:
 @contextmanager
 def consumed(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Whatever is stored inside is removed at the end, but for what the yielded
-    function stores: the results, which belong to the block around, if any.
+    function stores: the results (their folders: ``keep.paths``), which belong to the
+    block around, if any.
 
     >>> with consumed(spark) as keep:
     ...     out = keep(work(stored(rows, "rows")), "result")
@@ -77,6 +78,7 @@ def consumed(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFra
         results.append(own.pop())
         return out
 
+    keep.paths = results
     _SCOPES.append(own)
     try:
         yield keep
@@ -88,6 +90,16 @@ def consumed(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFra
             _SCOPES[-1].extend(results)
 
 
+def keyed(rows: DataFrame, out: str = "key") -> DataFrame:
+    """Rows of a file scan with ``out``: a number of their own, from the file's number and
+    the row's place in it.  Files are numbered by name, in one task: their names only."""
+    cols = [F.col(f"`{c}`") for c in rows.columns]
+    placed = rows.select(*cols, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_i"))
+    files = stored(placed.select("_f").distinct(), "files")
+    files = stored(files.select("_f", F.row_number().over(Window.orderBy("_f")).cast("long").alias("_n")), "files")
+    return placed.join(files, "_f").withColumn(out, F.shiftleft("_n", 40) + F.col("_i")).drop("_f", "_i", "_n")
+
+
 # --- ranks and joins ------------------------------------------------------
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], out: str = "rank",
@@ -142,6 +154,28 @@ def broadcast_if_few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= FEW else df
 
 
+BITS_MAX = 27  # a bitmap has at most 2^27 bits (16 MB)
+
+
+def bitmap(values: DataFrame, col: str) -> np.ndarray:
+    """Bits set at the leading bits of 64-bit hashes, 16 bits for each of them but
+    2^BITS_MAX at most: a filter of bounded size that lets some others pass.  Built by
+    an aggregation; at most 2^(BITS_MAX - 6) rows reach the driver."""
+    bits = min(BITS_MAX, max(16, (16 * values.count()).bit_length()))
+    at = values.select(F.shiftrightunsigned(col, 64 - bits).alias("at"))
+    words = at.selectExpr("shiftright(at, 6) as w", "shiftleft(1L, cast(at & 63 as int)) as m")
+    got = words.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[got["w"].to_numpy(np.int64)] = got["m"].to_numpy(np.int64)
+    return out.view(np.uint8)
+
+
+def in_bitmap(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes (uint64) have their bit set."""
+    at = h >> U(64 - int(len(bits) * 8).bit_length() + 1)
+    return (bits[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8)) & 1 == 1
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) of every id that occurs in ``edges`` (a, b).
 

@@ -11,9 +11,12 @@ are in code points of the text as given, end exclusive.  The items (a stated
 query set) are broadcast in blocks of at most ``ITEMS`` items and ``ITEM_CHARS``
 characters, with one pass over the documents for each block.
 
-Defined results: a null or empty text has no match; an item that is null or
-shorter than ``q`` characters is searched for nowhere; equal items each match;
-repeated rows each match; empty tables give an empty result; an id may be null;
+Items shorter than ``q`` characters allow no edit; they are searched for as they
+stand, between characters that are no letters or digits, by an Aho-Corasick
+automaton in the same pass.
+
+Defined results: a null or empty text has no match, and a null or blank item none;
+equal items each match; repeated rows each match; empty tables give an empty result; an id may be null;
 ``clean`` keeps all columns of the documents, whatever their names.
 """
 
@@ -27,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from hirelake.llm import common as C
 
@@ -86,6 +90,8 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     seen: np.ndarray     # bitmap over the hashes' high bits
+    short: list          # places of the items below q characters
+    automaton: object    # and the automaton of their texts, None if there are none
 
     @property
     def longest(self) -> int:
@@ -93,16 +99,24 @@ class Index:
 
 
 def index(items: list[tuple], q: int = Q, rate: float = EDITS) -> Index:
-    """Index of (id, text) items; those too short are left out."""
+    """Index of (id, text) items; blank ones are left out."""
+    import ahocorasick
+
     ids, texts = [], []
     for i, t in items:
         cp = _folded((t or "").strip()).copy()
         cp = cp[_squeezed(cp, np.zeros(len(cp), np.int8))]
-        if len(cp) >= q:
+        if len(cp):
             ids.append(i), texts.append(cp)
     m = np.array([len(t) for t in texts], np.int64)
-    k = np.minimum((m * rate).astype(np.int64), m // q - 1)
-    hs = [_hashes(t, q) for t in texts]
+    short, automaton = np.flatnonzero(m < q).tolist(), ahocorasick.Automaton()
+    for i in short:
+        word = texts[i].tobytes().decode("utf-32-le", "replace")
+        automaton.add_word(word, (*automaton.get(word, ()), i))
+    if short:
+        automaton.make_automaton()
+    k = np.maximum(np.minimum((m * rate).astype(np.int64), m // q - 1), 0)
+    hs = [_hashes(t, q) if len(t) >= q else np.zeros(0, C.U) for t in texts]
     h = np.concatenate(hs) if hs else np.zeros(0, C.U)
     item = np.repeat(np.arange(len(texts)), [len(x) for x in hs])
     place = np.concatenate([np.arange(len(x)) for x in hs]) if hs else item
@@ -110,7 +124,8 @@ def index(items: list[tuple], q: int = Q, rate: float = EDITS) -> Index:
     grams, first = np.unique(h[order], return_index=True)
     seen = np.zeros(1 << _BITS, bool)
     seen[(grams >> C.U(64 - _BITS)).astype(np.int64)] = True
-    return Index(ids, texts, q, k, m + 1 - q * (k + 1), grams, np.append(first, len(h)), item[order], place[order], seen)
+    return Index(ids, texts, q, k, m + 1 - q * (k + 1), grams, np.append(first, len(h)), item[order], place[order],
+                 seen, short, automaton if short else None)
 
 
 def _align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int]:
@@ -172,6 +187,17 @@ def _align_from(item: np.ndarray, text: np.ndarray, k: int) -> tuple[int, int]:
     return int(cost[j]), int(end[j])
 
 
+def _words(x: Index, cp: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item, first, end) of the short items in a block of folded texts."""
+    for r in range(len(begin) - 1):
+        text = cp[begin[r]: begin[r + 1]].tobytes().decode("utf-32-le", "replace")
+        for last, items in x.automaton.iter(text):
+            for it in items:
+                a = last + 1 - len(x.texts[it])
+                if not (a and text[a - 1].isalnum()) and not text[last + 1: last + 2].isalnum():
+                    yield r, it, a, last + 1
+
+
 def _found(x: Index, col: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item, start, end, edits) of every match in a column of texts."""
     if not len(x.ids):
@@ -183,7 +209,10 @@ def _found(x: Index, col: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         row = np.repeat(np.arange(hi - lo), np.diff(cut))
         at = _squeezed(cp, row)
         cp, row = cp[at], row[at]
-        if len(cp) < x.q:
+        begin = np.searchsorted(row, np.arange(hi - lo + 1))
+        for r, it, s, e in _words(x, cp, begin) if x.automaton is not None else ():
+            yield lo + r, it, int(at[begin[r] + s] - cut[r]), int(at[begin[r] + e - 1] - cut[r] + 1), 0
+        if len(cp) < x.q or not len(x.grams):
             continue
         h = _hashes(cp, x.q)
         i = np.flatnonzero(x.seen[(h >> C.U(64 - _BITS)).astype(np.int64)])
@@ -207,7 +236,6 @@ def _found(x: Index, col: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         count = np.diff(np.append(first, len(key)))
         found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        begin = np.searchsorted(row, np.arange(hi - lo + 1))
         for f, n in zip(first, count):
             it = int(item[pos[f]])
             if n < x.least[it]:
@@ -244,9 +272,9 @@ def matches(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = EDITS,
             text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id_col, item_id, start, end, edits) of every passage of an item."""
     rows = C.spread_scan(docs.select(id_col, F.col(text_col).cast("string").alias("_text")))
-    schema = T.StructType([rows.schema[0], T.StructField("item_id", T.LongType()), T.StructField("start", T.LongType()),
+    schema = T.StructType([rows.schema[0], T.StructField("item_id", items.schema[item_col].dataType), T.StructField("start", T.LongType()),
                            T.StructField("end", T.LongType()), T.StructField("edits", T.IntegerType())])
-    out = None
+    out, id_type = None, to_arrow_type(items.schema[item_col].dataType)
     for block in _blocks(items, item_col, item_text, q, rate):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
@@ -256,7 +284,7 @@ def matches(docs: DataFrame, items: DataFrame, q: int = Q, rate: float = EDITS,
                 got = list(_found(x, b.column(1)))
                 r, it, s, e, n = zip(*got) if got else ((),) * 5
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(r, pa.int64())), pa.array([x.ids[k] for k in it], pa.int64()),
+                    [b.column(0).take(pa.array(r, pa.int64())), pa.array([x.ids[k] for k in it], id_type),
                      pa.array(s, pa.int64()), pa.array(e, pa.int64()), pa.array(n, pa.int32())], names=schema.names)
 
         part = rows.mapInArrow(run, schema)

@@ -20,7 +20,8 @@ components is lost, so the components are exact.
 Defined results: a null or wordless text has an empty set and links with
 nothing; a text of fewer than ``k`` words is one shingle; repeated rows link
 (equal sets); a null id gets its size and a null component; an empty table
-gives an empty result; extra columns are ignored.  Ids are taken as unique.
+gives an empty result; extra columns are ignored.  ``jaccard_components`` takes ids
+as unique; ``jaccard_by_row`` tells rows apart by their place in the files.
 """
 
 from __future__ import annotations
@@ -219,56 +220,100 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _with_component(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+def _with_component(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     """Rows with ``comp``: the component of ``id``, the id itself if unlinked."""
-    if links is None:
+    if found is None:
         return rows.withColumn("comp", F.col("id"))
-    found = C.stored(C.components(links).select("id", F.col("component").alias("_c")), "components")
     return rows.join(C.broadcast_if_few(found), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
 
 
-def _heavy_links(docs: DataFrame, listed: DataFrame, about: DataFrame, links: DataFrame | None, rule: Rule,
-                 top: int) -> DataFrame | None:
+def _components(links: DataFrame | None) -> DataFrame | None:
+    return None if links is None else C.stored(C.components(links).select("id", F.col("component").alias("_c")), "components")
+
+
+def _listed(ordered: DataFrame) -> DataFrame:
+    """(token, id, pos) of the tokens that at least two sets list.  A bitmap of these
+    goes to the tasks, so that tokens of one set only are never shuffled twice."""
+    tokens = ordered.select(F.explode("prefix").alias("token"))
+    often = C.stored(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select("token"), "met-tokens")
+    shared = ordered.sparkSession.sparkContext.broadcast(C.bitmap(often, "token"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = batch.column(1)
+            off = col.offsets.to_numpy().astype(np.int64)
+            token = col.values.to_numpy()[off[0]: off[-1]]
+            row = np.repeat(np.arange(len(col)), np.diff(off))
+            pos = np.arange(len(token)) - (off[:-1] - off[0])[row]
+            ok = np.flatnonzero(C.in_bitmap(shared.value, token.view(C.U)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token[ok]), pa.array(batch.column(0).to_numpy()[row[ok]]), pa.array(pos[ok].astype(np.int32))],
+                names=["token", "id", "pos"])
+
+    return ordered.select("id", "prefix").mapInArrow(run, "token long, id long, pos int")
+
+
+def _heavy_links(docs: DataFrame, ordered: DataFrame, links: DataFrame | None, rule: Rule, top: int) -> DataFrame | None:
     """Links with a set of more than ``top`` elements, added to ``links``.
 
-    ``listed``: (token, id, pos); ``about``: (id, n, b0..b3).
+    ``ordered``: (id, n, prefix, b0..b3).  Two rounds, at every size: first each
+    member of a list that holds several components meets the list's pivot, then the
+    members of what lists still hold several components meet each other.  The lists
+    are (token, id, pos); sizes and sketches join them for the pairs only.
     """
-    met = listed.groupBy("token").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1").select("token")
-    rest = listed.join(met, "token").join(C.broadcast_if_few(about), "id")
+    about = ordered.select("id", "n", "b0", "b1", "b2", "b3")
+    rest = C.stored(_listed(ordered), "lists")
     may = _may_link(rule, top)
     names = ("a.id as a", "b.id as b", "a.n as na", "b.n as nb", "a.pos as pa", "b.pos as pb", f"{APART} as h")
+    found = _components(links)
     for last in (False, True):
-        rest = C.stored(_with_component(rest, links), "lists")
+        rest = C.stored(_with_component(rest, found), "lists")
         size = rest.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
         size = size.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("m2"))
-        size = C.stored(size.filter("m * m > m2"), "open-lists")
-        rows, across = size.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("m2")) / 2)).first()
-        if not rows:
+        size = C.stored(size.filter("m * m > m2").select("token"), "open-lists")
+        rest = C.stored(rest.join(size, "token"), "lists")
+        if rest.isEmpty():
             return links
-        rest = rest.join(size.select("token"), "token")
-        last = last or across <= LIST_LONG * rows  # lists are about as short as the order makes them
+        full = C.stored(rest.join(about, "id"), "list-rows")
         if last:  # the pairs that are left, across components
-            pairs = rest.alias("a").join(rest.alias("b"), F.expr(
+            pairs = full.alias("a").join(full.alias("b"), F.expr(
                 f"a.token = b.token and a.id < b.id and a.comp <> b.comp and {may}")).selectExpr(*names)
             pairs = _counted(pairs, rule)
         else:  # each member with a pivot of each of its lists, the nearest of these
-            pick = rest.groupBy("token").agg(F.min(F.struct(
+            pick = full.groupBy("token").agg(F.min(F.struct(
                 F.xxhash64("token", "id").alias("_h"), "id", "comp", "n", "pos", "b0", "b1", "b2", "b3")).alias("_x"))
-            pairs = rest.alias("a").join(pick.select("token", "_x.*").alias("b"), F.expr(
+            pairs = full.alias("a").join(pick.select("token", "_x.*").alias("b"), F.expr(
                 f"a.token = b.token and a.comp <> b.comp and {may}")).selectExpr(*names)
             near = Window.partitionBy("a").orderBy("h", "b")  # at most a pivot per listed element
             pairs = _counted(pairs, rule).withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= PIVOTS)
-        found = C.stored(_verified(C.stored(pairs.select("a", "b"), "pairs"), docs, rule), "links")
-        links = found if links is None else links.unionByName(found)
-        if last:
-            return links
+        new = C.stored(_verified(C.stored(pairs.select("a", "b"), "pairs"), docs, rule), "links")
+        links = new if links is None else links.unionByName(new)
+        found = _components(links)
         rest = rest.drop("comp")
     return links
 
 
 def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """(id_col, n_shingles, component_id) per row of ``docs``."""
+    """(id_col, n_shingles, component_id) per row of ``docs``; stored."""
+    with C.consumed(docs.sparkSession) as keep:
+        return keep(_joined(docs, rule, id_col, text_col), "jaccard")
+
+
+def jaccard_by_row(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same for rows of a file scan whose ids may be null or repeated: rows link,
+    and the component is the smallest id of its rows (null if none has one)."""
+    spark = docs.sparkSession
+    with C.consumed(spark) as keep:
+        rows = C.keyed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")))
+        found = jaccard_components(rows, rule, "key", "text")
+        named = C.stored(found.join(rows.select("key", "id"), "key"), "row-components")
+        least = named.groupBy("component_id").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows"))
+        out = C.join_unique(named, C.stored(least, "smallest-ids"), ["component_id"], "rows", named.count())
+        return keep(out.select(F.col("id").alias(id_col), "n_shingles", F.col("least").alias("component_id")), "jaccard-rows")
+
+
+def _joined(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = C.stored(_sets(C.spread_scan(docs), rule), "sets")
     df = sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
@@ -288,15 +333,35 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     large = reps.filter(F.col("n") >= rule.least(top + 1)).select("id")
     texts = docs.filter("id is not null").join(C.broadcast_if_few(large), "id", "left_semi")
     ordered = C.stored(_ordered(C.spread_scan(texts.select("id", "text")), rule, late), "ordered")
-    listed = ordered.select("id", F.posexplode("prefix").alias("pos", "token"))
-    about = ordered.select("id", "n", "b0", "b1", "b2", "b3")
-    links = _heavy_links(docs.filter("id is not null"), listed, about, links, rule, top)
+    links = _heavy_links(docs.filter("id is not null"), ordered, links, rule, top)
 
     named = classes.select("f1", "f2", "n", "rows", F.col("rep").alias("id"))
-    named = _with_component(named, links).select("f1", "f2", "n", "rows", "comp")
+    named = _with_component(named, _components(links)).select("f1", "f2", "n", "rows", "comp")
     total = sets.count()
     whole = C.join_unique(sets.filter("n > 0").select("id", "n", "f1", "f2"), named, ["f1", "f2", "n"], "rows", total)
     empty = sets.filter("n = 0").select("id", "n", "f1", "f2", F.col("id").alias("comp"))
     return whole.unionByName(empty.select(*whole.columns)).select(
         F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.col("comp")).alias("component_id"))
+
+
+def oracle_sql(rule: Rule) -> str:
+    """DuckDB SQL of ``jaccard_by_row`` over ``documents`` (unique ids), all pairs of a shingle."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= {rule.k}
+      THEN list_transform(range(1, len(w) - {rule.k - 2}), lambda i: array_to_string(w[i:i + {rule.k - 1}], ' '))
+      ELSE [array_to_string(w, ' ')] END)) AS sh
+  FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE {rule.den} * o >= {rule.num} * (x.n + y.n - o)),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)"""

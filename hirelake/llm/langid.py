@@ -111,9 +111,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
 
     sums = C.stored(C.spread_scan(seen).mapInArrow(run, "lang string, bucket int, n long")
                     .groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "gram-counts")
-    langs = sorted(r[0] for r in sums.select("lang").distinct().limit(LANGS_MAX + 1).collect())
-    if len(langs) > LANGS_MAX:
-        raise ValueError(f"{lang_col} has more than {LANGS_MAX} values")
+    known = sums.filter(F.col("bucket") == BUCKETS).orderBy(F.desc("n"), "lang").limit(LANGS_MAX)
+    langs = sorted(r[0] for r in known.select("lang").collect())
+    sums = sums.join(F.broadcast(known.select("lang")), "lang", "left_semi")
     counts = np.zeros((BUCKETS + 1, len(langs)))
     got = sums.toPandas()  # at most LANGS_MAX x (BUCKETS + 1) rows, whatever the input
     counts[got["bucket"], np.searchsorted(langs, got["lang"].tolist())] = got["n"]

@@ -124,27 +124,44 @@ def _solve(counts: np.ndarray, capacity: int) -> dict[tuple, float]:
 
 
 def _best_fit(counts: np.ndarray, capacity: int) -> dict[tuple, int]:
-    """Best-fit decreasing over a small histogram."""
-    room_at: list[list[list[int]]] = [[] for _ in range(capacity + 1)]  # sequences by the room they have
-    open_rooms = np.zeros(capacity + 1, np.int64)
-    bins = []
+    """Best-fit decreasing over a histogram: configuration -> how often.
+
+    Equal sequences are kept together, and all pieces of a length are dealt over a
+    group of them at once: a piece that has gone into the tightest sequence makes it
+    tighter still, so the next ones follow until it is full.  Work and memory
+    depend on the distinct lengths, not on the pieces.
+    """
+    groups: list[list[tuple[tuple, int]]] = [[] for _ in range(capacity + 1)]  # (configuration, sequences) by room
+    open_rooms = np.zeros(capacity + 1, bool)
+
+    def put(conf: tuple, times: int, room: int) -> None:
+        groups[room].append((conf, times))
+        open_rooms[room] = True
+
     for n in np.flatnonzero(counts)[::-1].tolist():
-        for _ in range(int(counts[n])):
+        left = int(counts[n])
+        while left:
             fit = np.flatnonzero(open_rooms[n:])
             if len(fit):
-                r = n + int(fit[0])
-                b = room_at[r].pop()
-                open_rooms[r] -= 1
+                room = n + int(fit[0])
+                conf, times = groups[room].pop()
+                open_rooms[room] = bool(groups[room])
             else:
-                r, b = capacity, []
-                bins.append(b)
-            b.append(n)
-            room_at[r - n].append(b)
-            open_rooms[r - n] += 1
+                room, conf, times = capacity, (), left
+            most = room // n
+            full = min(times, left // most)
+            if full:
+                put((*conf, (n, most)), full, room - most * n)
+            rest = min(left - full * most, most - 1) if full < times else 0
+            if rest:
+                put((*conf, (n, rest)), 1, room - rest * n)
+            if conf and times > full + bool(rest):
+                put(conf, times - full - bool(rest), room)
+            left -= full * most + rest
     out: dict[tuple, int] = {}
-    for b in bins:
-        key = tuple(sorted(((n, b.count(n)) for n in set(b)), reverse=True))
-        out[key] = out.get(key, 0) + 1
+    for group in groups:
+        for conf, times in group:
+            out[conf] = out.get(conf, 0) + times
     return out
 
 
@@ -163,9 +180,13 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
         if ids <= max(LEFT * total, 8 * capacity):
             break
         carry, used = 0.0, 0
-        for conf, x in sorted(_solve(left, capacity).items(), key=lambda e: (-e[1], e[0])):
-            if sum(n * m for n, m in conf) < capacity - capacity // 256:
-                continue  # a sequence with a gap waits for the last step
+        found = _solve(left, capacity)
+        fill = {conf: sum(n * m for n, m in conf) for conf in found}
+        # sequences with a gap wait for the last step, unless there are no fuller ones
+        least = min(capacity, max(fill.values(), default=0)) - capacity // 256
+        for conf, x in sorted(found.items(), key=lambda e: (-e[1], e[0])):
+            if fill[conf] < least:
+                continue
             carry += x
             t = min(int(carry + 1e-9), min(int(left[n]) // m for n, m in conf))
             carry -= int(carry + 1e-9)

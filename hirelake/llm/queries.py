@@ -26,10 +26,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-@register("op10_jaccard_join")
+OP10 = jaccard_join.Rule(k=4, num=85, den=100)
+
+
+@register("op10_jaccard_join", jaccard_join.oracle_sql(OP10))
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets reach Jaccard 0.85."""
-    return jaccard_join.jaccard_components(C.table(spark, sf_dir, "documents"), jaccard_join.Rule(k=4, num=85, den=100))
+    return jaccard_join.jaccard_by_row(C.table(spark, sf_dir, "documents"), OP10)
 
 
 @register("op7_secret_scan", secrets.oracle_sql())
@@ -74,7 +77,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
 
-@register("op4_warc")
+@register("op4_warc", warc.oracle_sql())
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record per page, written to archives and read back."""
     return warc.round_trip(C.table(spark, sf_dir, "pages")).select(
@@ -102,7 +105,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["low_quality", "toxic"]
     chain = toxicity.fit(docs, labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic"), names)
     out = toxicity.score(docs, chain, categories=names)
-    return out.withColumn("toxic", F.coalesce(F.col("p_toxic") >= toxicity.THRESHOLD, F.lit(False)))
+    cut = chain.thresholds[-1] if chain else 1.0
+    return out.withColumn("toxic", F.coalesce(F.col("p_toxic") >= cut, F.lit(False)))
 
 
 @register("op11_phrases", phrases.oracle_sql())

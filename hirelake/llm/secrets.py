@@ -127,7 +127,8 @@ def update(texts: DataFrame, path: str, text_col: str = "text", kinds: tuple[Kin
     new = blobs.select("blob").join(_spans(blobs.filter("text is not null"), kinds), "blob", "left")
     new.select("blob", F.lit(version).alias("version"), F.coalesce("spans", F.array().cast(SPANS)).alias("spans")) \
         .write.mode("append").parquet(path)
-    return ledger(spark, path).filter((F.col("version") == version) & (F.size("spans") > 0)).select("blob", "spans")
+    found = ledger(spark, path).filter((F.col("version") == version) & (F.size("spans") > 0)).select("blob", "spans")
+    return found.dropDuplicates(["blob"])  # scans that overlapped have appended a blob twice
 
 
 def scan(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -144,8 +145,11 @@ def scan(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 def redacted(docs: DataFrame, path: str, text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``docs`` with every span, and overlapping spans together, replaced by MASK."""
     found = update(docs, path, text_col, kinds).withColumnRenamed("spans", "_spans")
-    rows = docs.withColumn("_blob", blob_of(C.text_or_empty(text_col)))
-    rows = rows.join(C.broadcast_if_few(found.withColumnRenamed("blob", "_blob")), "_blob", "left")
+    some = F.lit(False)
+    for k in kinds:
+        some = some | _may_match(C.text_or_empty(text_col), k)
+    rows = docs.filter(some).withColumn("_blob", blob_of(C.text_or_empty(text_col)))
+    rows = rows.join(found.withColumnRenamed("blob", "_blob"), "_blob", "left")  # by a shuffle of these texts only
     t = f"`{text_col}`"
     clean = F.expr(f"""
         aggregate(_spans, struct(0 as pos, '' as done),
@@ -153,8 +157,9 @@ def redacted(docs: DataFrame, path: str, text_col: str = "text", kinds: tuple[Ki
             struct(s.end as pos, concat(a.done, substring({t}, a.pos + 1, s.start - a.pos), '{MASK}') as done),
             struct(greatest(a.pos, s.end) as pos, a.done as done)),
           a -> concat(a.done, substring({t}, a.pos + 1, length({t}))))""")
-    return rows.withColumn(text_col, F.when(F.col("_spans").isNotNull(), clean).otherwise(F.col(text_col))) \
-        .select(*docs.columns)
+    masked = rows.withColumn(text_col, F.when(F.col("_spans").isNotNull(), clean).otherwise(F.col(text_col)))
+    names = [f"`{c}`" for c in docs.columns]
+    return masked.select(*names).unionByName(docs.filter(~some).select(*names))
 
 
 def listed(spans: Column) -> Column:

@@ -12,7 +12,8 @@ smallest hash of the id), a documented bound; every row is scored on its whole
 text.
 
 Defined results: a null, empty or wordless text has no features and gets the
-models' base rates; rows with a null label in any category are not learned
+models' base rates; a category's threshold is the cut with the fewest errors among
+the out-of-fold probabilities; rows with a null label in any category are not learned
 from; if nothing is labelled all probabilities are null; repeated rows are
 scored alike; an empty table gives an empty result; a null id is kept; extra
 columns are ignored.
@@ -36,8 +37,9 @@ BITS = 18
 FEATURES = 4096
 FOLDS = 4
 HEADS = (4, 5)
-STEPS = 600
-THRESHOLD = 0.25   # toxic from this probability on; about one labelled text in ten is
+STEPS = 300        # at most; about 60 are needed
+MEMORY = 8         # past steps that L-BFGS keeps
+TOLERANCE = 1e-3
 RIDGE = 1e-4
 
 _BETWEEN = C.SPACE.copy()
@@ -49,6 +51,20 @@ class Chain:
     categories: list[str]
     slot: np.ndarray          # bucket -> feature, -1 if it is not kept
     weights: list[np.ndarray]  # per category: features, earlier categories, bias
+    thresholds: list[float]    # per category: positive from this probability on
+
+
+def _threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The cut with the fewest wrong rows among probabilities that were predicted
+    out of fold; of equally good ones the middle of the widest gap."""
+    order = np.argsort(p, kind="stable")
+    p, y = p[order], y[order] > 0.5
+    wrong = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum(~y[::-1])[::-1], [0]])
+    edge = np.concatenate([[0.0], p, [1.0]])
+    gap = np.diff(edge)  # cut k lies between edge k and edge k + 1
+    best = np.flatnonzero((wrong == wrong[gap > 0].min(initial=len(p) + 1)) & (gap > 0))
+    k = best[np.argmax(gap[best])] if len(best) else 0
+    return float((edge[k] + edge[k + 1]) / 2)
 
 
 def _features(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -109,24 +125,60 @@ def _select(sample: DataFrame, categories: list[str]) -> np.ndarray:
 
 
 def _logistic(at: np.ndarray, row: np.ndarray, extra: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """Weights (features, extra columns, bias) of a ridge logistic model, by
-    accelerated gradient steps over sparse presence features."""
+    """Weights (features, extra columns, bias) of a ridge logistic model over sparse
+    presence features, by L-BFGS until the gradient is ``TOLERANCE`` of the first.
+
+    Features are scaled by the square root of how often they occur, which evens
+    out the curvature; the ridge is that of the unscaled weights.
+    """
     n, m = extra.shape
-    w, v = np.zeros(size + m + 1), np.zeros(size + m + 1)
-    rate = 4.0 / (1 + np.bincount(row, minlength=n).max(initial=0) * 0.25 + m + 1)
-    p = np.clip(y.mean(), 1e-4, 1 - 1e-4)
-    w[-1] = np.log(p / (1 - p))
     scale = np.ones(size + m + 1)
-    scale[:size] = n / (1.0 + np.bincount(at, minlength=size)) ** 0.5 / n ** 0.5  # rare features move further
-    last = w.copy()
-    for t in range(STEPS):
-        v = w + t / (t + 3) * (w - last)
-        z = np.bincount(row, weights=v[at], minlength=n) + extra @ v[size:-1] + v[-1]
-        r = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        g = np.append(np.append(np.bincount(at, weights=r[row], minlength=size), extra.T @ r), r.sum()) / n
-        g[:-1] += RIDGE * v[:-1]
-        last, w = w, v - rate * scale * g
-    return w
+    scale[:size] = np.sqrt(n / (1.0 + np.bincount(at, minlength=size)))
+    ridge = np.full(size + m + 1, RIDGE)
+    ridge[-1] = 0
+
+    def loss(u: np.ndarray) -> tuple[float, np.ndarray]:
+        w = u * scale
+        z = np.bincount(row, weights=w[at], minlength=n) + extra @ w[size:-1] + w[-1]
+        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        r = p - y
+        g = np.append(np.append(np.bincount(at, weights=r[row], minlength=size), extra.T @ r), r.sum()) / n + ridge * w
+        return float((np.logaddexp(0, z) - y * z).mean() + 0.5 * (ridge * w * w).sum()), g * scale
+
+    u = np.zeros(size + m + 1)
+    p = np.clip(y.mean(), 1e-4, 1 - 1e-4)
+    u[-1] = np.log(p / (1 - p))
+    f, g = loss(u)
+    least = TOLERANCE * max(np.abs(g).max(), 1e-9)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(STEPS):
+        if np.abs(g).max() <= least:
+            break
+        d, kept = -g.copy(), []
+        for s, c, rho in reversed(past):
+            a = rho * (s @ d)
+            kept.append(a)
+            d -= a * c
+        if past:
+            s, c, _ = past[-1]
+            d *= (s @ c) / (c @ c)
+        for (s, c, rho), a in zip(past, reversed(kept)):
+            d += (a - rho * (c @ d)) * s
+        step, slope = 1.0 if past else min(1.0, 1 / np.abs(g).sum()), g @ d
+        while True:
+            new = u + step * d
+            f2, g2 = loss(new)
+            if f2 <= f + 1e-4 * step * slope or step < 1e-10:
+                break
+            step /= 2
+        s, c = new - u, g2 - g
+        if s @ c > 1e-12:
+            past = [*past[-(MEMORY - 1):], (s, c, 1 / (s @ c))]
+        done = f - f2 <= 1e-9 * max(1.0, abs(f))
+        u, f, g = new, f2, g2
+        if done:
+            break
+    return u * scale
 
 
 def _probability(w: np.ndarray, at: np.ndarray, row: np.ndarray, extra: np.ndarray, size: int) -> np.ndarray:
@@ -134,28 +186,36 @@ def _probability(w: np.ndarray, at: np.ndarray, row: np.ndarray, extra: np.ndarr
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _trainer(name: str, before: list[str], size: int):
+def _trained(pdf: pd.DataFrame, name: str, before: list[str], size: int) -> pd.DataFrame:
     """Fit one category's model without the fold ``out`` and predict that fold;
     ``out`` = FOLDS fits on all and returns the weights."""
+    out = int(pdf["out"].iloc[0])
+    many = pdf["feats"].map(len).to_numpy()
+    at = np.concatenate([*pdf["feats"], np.zeros(0)]).astype(np.int64)
+    row = np.repeat(np.arange(len(pdf)), many)
+    extra = pdf[before].to_numpy(float).reshape(len(pdf), len(before))
+    use = (pdf["fold"] != out).to_numpy()
+    if not use.any():
+        use[:] = True
+    renumber = np.cumsum(use) - 1
+    inside = use[row]
+    w = _logistic(at[inside], renumber[row[inside]], extra[use], pdf[name].to_numpy()[use], size)
+    if out == FOLDS:
+        return pd.DataFrame({"out": out, "id": np.arange(len(w)), "value": w})
+    rest = (pdf["fold"] == out).to_numpy()
+    p = _probability(w, at, row, extra, size)[rest]
+    return pd.DataFrame({"out": out, "id": pdf["id"].to_numpy()[rest], "value": p})
+
+
+def _trainer(name: str, before: list[str], size: int):
+    """All models of a category whose folds are in the partition; a fold is the bounded sample."""
     before = list(before)
 
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = int(pdf["out"].iloc[0])
-        many = pdf["feats"].map(len).to_numpy()
-        at = np.concatenate([*pdf["feats"], np.zeros(0)]).astype(np.int64)
-        row = np.repeat(np.arange(len(pdf)), many)
-        extra = pdf[before].to_numpy(float).reshape(len(pdf), len(before))
-        use = (pdf["fold"] != out).to_numpy()
-        if not use.any():
-            use[:] = True
-        renumber = np.cumsum(use) - 1
-        inside = use[row]
-        w = _logistic(at[inside], renumber[row[inside]], extra[use], pdf[name].to_numpy()[use], size)
-        if out == FOLDS:
-            return pd.DataFrame({"out": out, "id": np.arange(len(w)), "value": w})
-        rest = (pdf["fold"] == out).to_numpy()
-        p = _probability(w, at, row, extra, size)[rest]
-        return pd.DataFrame({"out": out, "id": pdf["id"].to_numpy()[rest], "value": p})
+    def train(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(parts)
+        if parts:
+            for _, pdf in pd.concat(parts, ignore_index=True).groupby("out"):
+                yield _trained(pdf, name, before, size)
 
     return train
 
@@ -188,19 +248,23 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
     rows = sample.mapInArrow(compact, labelled).withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(FOLDS)).cast("int"))
     rows = C.stored(rows, "train-features")
     weights: list[np.ndarray] = []
+    thresholds: list[float] = []
     before: list[str] = []
     for name in categories:
         # one copy of the bounded sample per fold that is left out, and one whole
         copies = rows.withColumn("out", F.explode(F.sequence(F.lit(0), F.lit(FOLDS))))
 
-        got = C.stored(copies.groupBy("out").applyInPandas(_trainer(name, before, size), "out int, id long, value double"), "fits")
+        copies = copies.repartitionByRange(FOLDS + 1, "out")  # a task for each
+        got = C.stored(copies.mapInPandas(_trainer(name, before, size), "out int, id long, value double"), "fits")
         whole = got.filter(F.col("out") == FOLDS).toPandas().sort_values("id")
         weights.append(whole["value"].to_numpy())
         column = f"_p{len(before)}"
         oof = got.filter(F.col("out") < FOLDS).groupBy("id").agg(F.first("value").alias(column))
         rows = C.stored(rows.join(oof, "id", "left").fillna(0.0, [column]), "train-features")
+        known = rows.select(column, name).toPandas()  # at most TRAIN_ROWS
+        thresholds.append(_threshold(known[column].to_numpy(), known[name].to_numpy()))
         before.append(column)
-    return Chain(list(categories), slot, weights)
+    return Chain(list(categories), slot, weights, thresholds)
 
 
 def score(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_col: str = "text",

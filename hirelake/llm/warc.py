@@ -224,3 +224,18 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
     return read(spark, folder, write(pages, folder, least))
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL of ``round_trip`` over ``pages`` (unique ids)."""
+    digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    part = f"list_transform(range(8), lambda j: substr('{digits}', CAST((x >> (35 - 5 * j)) & 31 AS INTEGER) + 1, 1))"
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT *, sha1(t) AS hex, max(page_id) OVER (PARTITION BY t) AS last FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+       array_to_string(flatten(list_transform(list_transform([1, 11, 21, 31], lambda i: ('0x' || substr(hex, i, 10))::BIGINT),
+                       lambda x: {part})), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM h"""

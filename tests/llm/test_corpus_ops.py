@@ -76,6 +76,43 @@ def test_plan_covers_exactly_and_is_tight():
         assert -(-int(sizes.sum()) // 64) <= total <= plain + max(1, plain // 100)
 
 
+def _plain_best_fit(counts, capacity):
+    """One piece after the other into the tightest sequence."""
+    rooms = []
+    for n in range(capacity, 0, -1):
+        for _ in range(counts[n]):
+            fit = [r for r in rooms if r >= n]
+            if fit:
+                rooms.remove(min(fit))
+                rooms.append(min(fit) - n)
+            else:
+                rooms.append(capacity - n)
+    return sorted(rooms)
+
+
+def test_best_fit_by_runs_equals_one_by_one():
+    rng = np.random.default_rng(7)
+    for capacity, n in ((10, 30), (64, 200), (64, 0), (50, 400)):
+        for _ in range(6):
+            counts = np.bincount(rng.integers(1, capacity + 1, n), minlength=capacity + 1)
+            counts[rng.integers(1, capacity)] += rng.integers(0, 90)
+            got = packing._best_fit(counts, capacity)
+            rooms = sorted(capacity - sum(a * b for a, b in c) for c, t in got.items() for _ in range(t))
+            assert rooms == _plain_best_fit(counts, capacity)
+            used = np.zeros(capacity + 1, int)
+            for conf, times in got.items():
+                for a, b in conf:
+                    used[a] += b * times
+            assert (used == counts).all()
+
+
+def test_lengths_that_leave_gaps_make_few_configurations():
+    counts = np.zeros(4097, np.int64)
+    counts[2500], counts[2300], counts[1700] = 10**9, 7 * 10**8, 10**6
+    confs = packing.plan(counts, 4096)  # far too many pieces to place one by one
+    assert sum(t for _, t in confs) == 10**9 + 7 * 10**8 and len(confs) < 50
+
+
 def test_packing_round_trip(spark):
     rng = random.Random(4)
     rows = EDGE + [(100 + i, " ".join(rng.choices(["alpha", "beta", "gamma."], k=rng.randint(0, 90)))) for i in range(60)]

@@ -259,3 +259,86 @@ def test_toxicity_edges(spark):
     assert len(out) == len(EDGE) and all(0 <= r.p_toxic <= 1 for r in out)
     empty = docs(spark, [])
     assert toxicity.score(empty, toxicity.fit(d, labels, ["toxic"])).collect() == []
+
+
+def _newton(x, y, ridge, steps=60):
+    """Ridge logistic weights with a bias, by dense Newton steps."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w, r = np.zeros(x.shape[1]), np.append(np.full(x.shape[1] - 1, ridge), 0)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-x @ w))
+        h = (x * (p * (1 - p))[:, None]).T @ x / len(x) + np.diag(r + 1e-12)
+        w = w - np.linalg.solve(h, x.T @ (p - y) / len(x) + r * w)
+    return w
+
+
+def test_logistic_equals_newton(monkeypatch):
+    monkeypatch.setattr(toxicity, "RIDGE", 0.01)
+    monkeypatch.setattr(toxicity, "TOLERANCE", 1e-7)
+    rng = np.random.default_rng(3)
+    x = rng.random((300, 25)) < 0.2
+    extra = rng.random((300, 2))
+    y = (x[:, 0] | (extra[:, 1] > 0.8)).astype(float)
+    row, at = np.nonzero(x)
+    got = toxicity._logistic(at, row, extra, y, 25)
+    assert np.abs(got - _newton(np.hstack([x, extra]), y, 0.01)).max() < 1e-2
+
+
+def test_chain_against_brute_force(spark, monkeypatch):
+    """Every probability equals that of a plain chain with the same folds and features."""
+    monkeypatch.setattr(toxicity, "RIDGE", 0.01)
+    monkeypatch.setattr(toxicity, "TOLERANCE", 1e-7)
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(12)], k=6)), "en") for i in range(120)]
+    label = [(i, int("w1" in t.split()), int("w1" in t.split() or "w2" in t.split())) for i, t, _ in rows]
+    d = docs(spark, rows)
+    chain = toxicity.fit(d, spark.createDataFrame(label, "doc_id long, a int, b int"), ["a", "b"])
+    from pyspark.sql import functions as F
+
+    fold = {r.id: r.f for r in spark.range(120).select("id", F.pmod(F.xxhash64("id"), F.lit(toxicity.FOLDS)).alias("f")).collect()}
+    fold = np.array([fold[i] for i in range(120)])
+    import pyarrow as pa
+
+    size = int(chain.slot.max()) + 1
+    x = np.zeros((120, size))
+    for lo, _, h, r in toxicity._features(pa.array([t for _, t, _ in rows])):
+        ok = chain.slot[h] >= 0
+        x[lo + r[ok], chain.slot[h][ok]] = 1
+    y, before, final = np.array(label)[:, 1:].astype(float), np.zeros((120, 0)), np.zeros((120, 0))
+    for j in range(2):
+        oof = np.zeros(120)
+        for k in range(toxicity.FOLDS):
+            w = _newton(np.hstack([x, before])[fold != k], y[fold != k, j], 0.01)
+            oof[fold == k] = 1 / (1 + np.exp(-(np.hstack([x, before])[fold == k] @ w[:-1] + w[-1])))
+        w = _newton(np.hstack([x, before]), y[:, j], 0.01)
+        p = 1 / (1 + np.exp(-(np.hstack([x, final]) @ w[:-1] + w[-1])))
+        before, final = np.hstack([before, oof[:, None]]), np.hstack([final, p[:, None]])
+    got = {r.doc_id: (r.p_a, r.p_b) for r in toxicity.score(d, chain).collect()}
+    assert np.abs(np.array([got[i] for i in range(120)]) - final).max() < 5e-3
+    assert 0 < chain.thresholds[1] < 1
+
+
+def test_threshold_has_the_fewest_errors():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 50):
+        for _ in range(30):
+            p, y = np.round(rng.random(n), 2), (rng.random(n) < 0.4).astype(float)
+            cut = toxicity._threshold(p, y)
+            errors = lambda c: int(((p >= c) != (y > 0)).sum())
+            assert errors(cut) == min(errors(c) for c in [0.0, 1.01, *(p + 0.001)])
+
+
+def test_short_items_stand_between_word_bounds(spark):
+    rows = [(1, "The CAT  sat", "en"), (2, "concatenate", "en"), (3, "cat", "en"), (4, "a cat-nap, cat", "en"), (5, None, "en"), (6, "c at", "en")]
+    items = spark.createDataFrame([("i1", "cat"), ("i2", " cat sat "), ("i3", None), ("i4", "  "), ("i5", "cat")], "item_id string, text string")
+    got = {tuple(r) for r in decontaminate.matches(docs(spark, rows), items).collect()}
+    cats = {(1, 4, 7), (3, 0, 3), (4, 2, 5), (4, 11, 14)}
+    assert got == {(d, i, s, e, 0) for d, s, e in cats for i in ("i1", "i5")} | {(1, "i2", 4, 12, 0)}
+    kept = decontaminate.clean(docs(spark, rows), items)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 5, 6]
+
+
+def test_langid_learns_the_most_frequent_labels(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGS_MAX", 2)
+    d = docs(spark, [(1, "aaa", "x"), (2, "aab", "x"), (3, "bbb", "y"), (4, "bbc", "y"), (5, "ccc", "z")])
+    assert langid.fit(d).langs == ["x", "y"]
