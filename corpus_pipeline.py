@@ -38,11 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows like all others."""
     C.small_batches(spark)
     names = [f"c{i}" for i in range(len(docs.columns))]  # no clash with the added columns
-    placed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)],
-                         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    files = sorted(r.file for r in placed.select("file").distinct().collect())
-    files = spark.createDataFrame(list(enumerate(files)), "n long, file string")
-    keyed = placed.join(F.broadcast(files), "file").withColumn("key", F.shiftleft("n", 40) + F.col("row"))
+    keyed = C.keyed(docs).toDF(*names, "key")
     doc_id, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
     found = jaccard_join.jaccard_components(keyed, jaccard_join.Rule(k=5, num=80, den=100), "key", text)
     found = C.stored(found.join(keyed.select("key", doc_id), "key"), "row-components")
@@ -91,8 +87,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
-    docs = C.table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written as Parquet and read again; what a
+    stage has stored is removed once its result is written, and that result once
+    the next one is."""
+    docs, before = C.table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = C.stored(stage(spark, docs, sf_dir), name)
+        with C.consumed(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir), name)
+        for path in before:
+            C.remove(spark, path)
+        before = list(keep.paths)
     return STAGES[-1][1](spark, docs, sf_dir)
