@@ -90,14 +90,16 @@ def consumed(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFra
             _SCOPES[-1].extend(results)
 
 
-def keyed(rows: DataFrame, out: str = "key") -> DataFrame:
-    """Rows of a file scan with ``out``: a number of their own, from the file's number and
-    the row's place in it.  Files are numbered by name, in one task: their names only."""
-    cols = [F.col(f"`{c}`") for c in rows.columns]
+def keyed(rows: DataFrame, names: list[str] | None = None, out: str = "key") -> DataFrame:
+    """Rows of a file scan, their columns as ``names``, with ``out``: a number of their
+    own, from the file's number and the row's place in it.  Files are numbered by
+    name, in one task: their names only."""
+    names = names or rows.columns
+    cols = [F.col(f"`{c}`").alias(n) for c, n in zip(rows.columns, names)]
     placed = rows.select(*cols, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_i"))
     files = stored(placed.select("_f").distinct(), "files")
     files = stored(files.select("_f", F.row_number().over(Window.orderBy("_f")).cast("long").alias("_n")), "files")
-    return placed.join(files, "_f").withColumn(out, F.shiftleft("_n", 40) + F.col("_i")).drop("_f", "_i", "_n")
+    return placed.join(files, "_f").select(*[f"`{n}`" for n in names], (F.shiftleft("_n", 40) + F.col("_i")).alias(out))
 
 
 # --- ranks and joins ------------------------------------------------------

@@ -60,7 +60,7 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     order = np.argsort(p, kind="stable")
     p, y = p[order], y[order] > 0.5
     wrong = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum(~y[::-1])[::-1], [0]])
-    edge = np.concatenate([[0.0], p, [1.0]])
+    edge = np.concatenate([[-1e-9], p, [1 + 1e-9]])
     gap = np.diff(edge)  # cut k lies between edge k and edge k + 1
     best = np.flatnonzero((wrong == wrong[gap > 0].min(initial=len(p) + 1)) & (gap > 0))
     k = best[np.argmax(gap[best])] if len(best) else 0
@@ -124,9 +124,10 @@ def _select(sample: DataFrame, categories: list[str]) -> np.ndarray:
     return np.sort(got["bucket"].to_numpy()[order]).astype(np.int64)
 
 
-def _logistic(at: np.ndarray, row: np.ndarray, extra: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
+def _logistic(at: np.ndarray, row: np.ndarray, extra: np.ndarray, y: np.ndarray, size: int,
+              ridge_by: float = RIDGE, tolerance: float = TOLERANCE) -> np.ndarray:
     """Weights (features, extra columns, bias) of a ridge logistic model over sparse
-    presence features, by L-BFGS until the gradient is ``TOLERANCE`` of the first.
+    presence features, by L-BFGS until the gradient is ``tolerance`` of the first.
 
     Features are scaled by the square root of how often they occur, which evens
     out the curvature; the ridge is that of the unscaled weights.
@@ -134,7 +135,7 @@ def _logistic(at: np.ndarray, row: np.ndarray, extra: np.ndarray, y: np.ndarray,
     n, m = extra.shape
     scale = np.ones(size + m + 1)
     scale[:size] = np.sqrt(n / (1.0 + np.bincount(at, minlength=size)))
-    ridge = np.full(size + m + 1, RIDGE)
+    ridge = np.full(size + m + 1, ridge_by)
     ridge[-1] = 0
 
     def loss(u: np.ndarray) -> tuple[float, np.ndarray]:
@@ -149,7 +150,7 @@ def _logistic(at: np.ndarray, row: np.ndarray, extra: np.ndarray, y: np.ndarray,
     p = np.clip(y.mean(), 1e-4, 1 - 1e-4)
     u[-1] = np.log(p / (1 - p))
     f, g = loss(u)
-    least = TOLERANCE * max(np.abs(g).max(), 1e-9)
+    least = tolerance * max(np.abs(g).max(), 1e-9)
     past: list[tuple[np.ndarray, np.ndarray, float]] = []
     for _ in range(STEPS):
         if np.abs(g).max() <= least:
@@ -186,7 +187,7 @@ def _probability(w: np.ndarray, at: np.ndarray, row: np.ndarray, extra: np.ndarr
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _trained(pdf: pd.DataFrame, name: str, before: list[str], size: int) -> pd.DataFrame:
+def _trained(pdf: pd.DataFrame, name: str, before: list[str], size: int, ridge: float, tolerance: float) -> pd.DataFrame:
     """Fit one category's model without the fold ``out`` and predict that fold;
     ``out`` = FOLDS fits on all and returns the weights."""
     out = int(pdf["out"].iloc[0])
@@ -199,7 +200,7 @@ def _trained(pdf: pd.DataFrame, name: str, before: list[str], size: int) -> pd.D
         use[:] = True
     renumber = np.cumsum(use) - 1
     inside = use[row]
-    w = _logistic(at[inside], renumber[row[inside]], extra[use], pdf[name].to_numpy()[use], size)
+    w = _logistic(at[inside], renumber[row[inside]], extra[use], pdf[name].to_numpy()[use], size, ridge, tolerance)
     if out == FOLDS:
         return pd.DataFrame({"out": out, "id": np.arange(len(w)), "value": w})
     rest = (pdf["fold"] == out).to_numpy()
@@ -207,7 +208,7 @@ def _trained(pdf: pd.DataFrame, name: str, before: list[str], size: int) -> pd.D
     return pd.DataFrame({"out": out, "id": pdf["id"].to_numpy()[rest], "value": p})
 
 
-def _trainer(name: str, before: list[str], size: int):
+def _trainer(name: str, before: list[str], size: int, ridge: float, tolerance: float):
     """All models of a category whose folds are in the partition; a fold is the bounded sample."""
     before = list(before)
 
@@ -215,13 +216,13 @@ def _trainer(name: str, before: list[str], size: int):
         parts = list(parts)
         if parts:
             for _, pdf in pd.concat(parts, ignore_index=True).groupby("out"):
-                yield _trained(pdf, name, before, size)
+                yield _trained(pdf, name, before, size, ridge, tolerance)
 
     return train
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id",
-        text_col: str = "text") -> Chain | None:
+        text_col: str = "text", ridge: float = RIDGE, tolerance: float = TOLERANCE) -> Chain | None:
     """The chain, in the order of ``categories``; None if nothing is labelled."""
     spark, n = docs.sparkSession, len(categories)
     sample = C.stored(_sample(docs, labels, categories, id_col, text_col), "train")
@@ -255,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str =
         copies = rows.withColumn("out", F.explode(F.sequence(F.lit(0), F.lit(FOLDS))))
 
         copies = copies.repartitionByRange(FOLDS + 1, "out")  # a task for each
-        got = C.stored(copies.mapInPandas(_trainer(name, before, size), "out int, id long, value double"), "fits")
+        got = C.stored(copies.mapInPandas(_trainer(name, before, size, ridge, tolerance), "out int, id long, value double"), "fits")
         whole = got.filter(F.col("out") == FOLDS).toPandas().sort_values("id")
         weights.append(whole["value"].to_numpy())
         column = f"_p{len(before)}"

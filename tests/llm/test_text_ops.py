@@ -272,27 +272,23 @@ def _newton(x, y, ridge, steps=60):
     return w
 
 
-def test_logistic_equals_newton(monkeypatch):
-    monkeypatch.setattr(toxicity, "RIDGE", 0.01)
-    monkeypatch.setattr(toxicity, "TOLERANCE", 1e-7)
+def test_logistic_equals_newton():
     rng = np.random.default_rng(3)
     x = rng.random((300, 25)) < 0.2
     extra = rng.random((300, 2))
     y = (x[:, 0] | (extra[:, 1] > 0.8)).astype(float)
     row, at = np.nonzero(x)
-    got = toxicity._logistic(at, row, extra, y, 25)
+    got = toxicity._logistic(at, row, extra, y, 25, 0.01, 1e-7)
     assert np.abs(got - _newton(np.hstack([x, extra]), y, 0.01)).max() < 1e-2
 
 
-def test_chain_against_brute_force(spark, monkeypatch):
+def test_chain_against_brute_force(spark):
     """Every probability equals that of a plain chain with the same folds and features."""
-    monkeypatch.setattr(toxicity, "RIDGE", 0.01)
-    monkeypatch.setattr(toxicity, "TOLERANCE", 1e-7)
     rng = random.Random(4)
     rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(12)], k=6)), "en") for i in range(120)]
     label = [(i, int("w1" in t.split()), int("w1" in t.split() or "w2" in t.split())) for i, t, _ in rows]
     d = docs(spark, rows)
-    chain = toxicity.fit(d, spark.createDataFrame(label, "doc_id long, a int, b int"), ["a", "b"])
+    chain = toxicity.fit(d, spark.createDataFrame(label, "doc_id long, a int, b int"), ["a", "b"], ridge=0.01, tolerance=1e-7)
     from pyspark.sql import functions as F
 
     fold = {r.id: r.f for r in spark.range(120).select("id", F.pmod(F.xxhash64("id"), F.lit(toxicity.FOLDS)).alias("f")).collect()}
