@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows like all others."""
     C.small_batches(spark)
     names = [f"c{i}" for i in range(len(docs.columns))]  # no clash with the added columns
-    keyed = C.keyed(docs).toDF(*names, "key")
+    keyed = C.keyed(docs, names)
     doc_id, text = names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
     found = jaccard_join.jaccard_components(keyed, jaccard_join.Rule(k=5, num=80, den=100), "key", text)
     found = C.stored(found.join(keyed.select("key", doc_id), "key"), "row-components")
