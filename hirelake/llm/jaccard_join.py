@@ -220,6 +220,26 @@ def _verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _stars(links: DataFrame) -> DataFrame:
+    """Fewer links with the same components: of all b that an a is linked with, the
+    smallest stays its partner and is linked with the others, which many a share."""
+    ends = links.groupBy("a").agg(F.sort_array(F.collect_set("b")).alias("bs"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, bs = batch.column(0).to_numpy(), batch.column(1)
+            off = bs.offsets.to_numpy().astype(np.int64)
+            off, b = off - off[0], bs.values.to_numpy()[off[0]: off[-1]]
+            least = b[off[:-1]]
+            more = np.ones(len(b), bool)
+            more[off[:-1]] = False
+            pairs = np.stack([b[more], np.repeat(least, np.diff(off))[more]], axis=1)
+            pairs = np.unique(np.concatenate([np.stack([own, least], axis=1), pairs]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return ends.mapInArrow(run, "a long, b long").distinct()
+
+
 def _with_component(rows: DataFrame, found: DataFrame | None) -> DataFrame:
     """Rows with ``comp``: the component of ``id``, the id itself if unlinked."""
     if found is None:
@@ -286,7 +306,7 @@ def _heavy_links(docs: DataFrame, ordered: DataFrame, links: DataFrame | None, r
                 f"a.token = b.token and a.comp <> b.comp and {may}")).selectExpr(*names)
             near = Window.partitionBy("a").orderBy("h", "b")  # at most a pivot per listed element
             pairs = _counted(pairs, rule).withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= PIVOTS)
-        new = C.stored(_verified(C.stored(pairs.select("a", "b"), "pairs"), docs, rule), "links")
+        new = C.stored(_stars(_verified(C.stored(pairs.select("a", "b"), "pairs"), docs, rule)), "links")
         links = new if links is None else links.unionByName(new)
         found = _components(links)
         rest = rest.drop("comp")
@@ -329,7 +349,7 @@ def _joined(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFram
 
     reps = C.stored(classes.filter("rep is not null").select(F.col("rep").alias("id"), "n", "small"), "representatives")
     light = reps.filter(F.col("n") <= top)
-    links = C.stored(_light_links(light, rule, top), "light-links") if any(n <= top for n in histogram) else None
+    links = C.stored(_stars(_light_links(light, rule, top)), "light-links") if any(n <= top for n in histogram) else None
     large = reps.filter(F.col("n") >= rule.least(top + 1)).select("id")
     texts = docs.filter("id is not null").join(C.broadcast_if_few(large), "id", "left_semi")
     ordered = C.stored(_ordered(C.spread_scan(texts.select("id", "text")), rule, late), "ordered")
@@ -358,8 +378,8 @@ s AS (
       ELSE [array_to_string(w, ' ')] END)) AS sh
   FROM d WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
-near AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+near AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
          WHERE {rule.den} * o >= {rule.num} * (x.n + y.n - o)),
 links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
