@@ -305,7 +305,8 @@ def _heavy_links(docs: DataFrame, ordered: DataFrame, links: DataFrame | None, r
             pairs = full.alias("a").join(pick.select("token", "_x.*").alias("b"), F.expr(
                 f"a.token = b.token and a.comp <> b.comp and {may}")).selectExpr(*names)
             near = Window.partitionBy("a").orderBy("h", "b")  # at most a pivot per listed element
-            pairs = _counted(pairs, rule).withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= PIVOTS)
+            # common elements are not counted here: b is the pivot of some of their lists only
+            pairs = pairs.groupBy("a", "b").agg(F.max("h").alias("h")).withColumn("_r", F.row_number().over(near)).filter(F.col("_r") <= PIVOTS)
         new = C.stored(_stars(_verified(C.stored(pairs.select("a", "b"), "pairs"), docs, rule)), "links")
         links = new if links is None else links.unionByName(new)
         found = _components(links)
