@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.operators.strategy import dematerialize, materialize
 from hirelake.plans import manifest as M
 
 FILE_ROWS = 100_000
@@ -23,18 +24,23 @@ class Pages:
 
     def build(self, df: DataFrame, order: list[tuple[str, bool]], file_rows: int | None = None) -> None:
         """Write ``df`` in ``order``: columns, each with whether it falls; together they
-        should be unique, so that pages are well defined.  Nulls come last."""
+        should be unique, so that pages are well defined.  Nulls come last.
+
+        The rows are stored first: dealing them by range reads them twice, once for
+        a sample of their order."""
+        rows = materialize(df)
         by = _order(order)
         known = M.versions(self.spark, self.root)
         base = known[-1] if known else -1
         folder = M.data_folder(base)
-        df.repartitionByRange(*by).sortWithinPartitions(*by).write.option(
+        rows.repartitionByRange(*by).sortWithinPartitions(*by).write.option(
             "maxRecordsPerFile", file_rows or FILE_ROWS).parquet(f"{self.root}/{folder}")
         written = self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
-        rows = written.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per file
-        files = [{"path": f"{folder}/{r.f}", "rows": r.n} for r in sorted(rows, key=lambda r: r.f)]
+        counts = written.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per file
+        files = [{"path": f"{folder}/{r.f}", "rows": r.n} for r in sorted(counts, key=lambda r: r.f)]
         M.commit(self.spark, self.root, {"op": "pages", "order": order, "schema": df.schema.json(), "files": files}, base + 1)
         M.expire(self.spark, self.root, 2)
+        dematerialize(rows)
 
     def files(self, first: int, size: int) -> tuple[list[dict], int]:
         """The files that hold rows ``first`` to ``first + size - 1``, and the number of
