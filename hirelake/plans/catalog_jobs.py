@@ -119,12 +119,17 @@ def q_csv_export(spark, sf):
     "SELECT 'gold_country_trends', (SELECT count(*) FROM gold_country), (SELECT count(*) FROM gold_country)",
     upto="gold"))
 def q_snapshot_copy(spark, sf):
-    """SNK5: copy written tables (a missing one is skipped) and reconcile row counts."""
+    """SNK5: copy written tables (a missing one is skipped) and reconcile row counts.  Each
+    table is made from the one written before it."""
     from hirelake.operators import gold as G
+    from hirelake.operators import silver as S
     root = scratch_path(spark, "snapshot-src")
-    sv = L.silver(spark, sf)
-    L.bronze(spark, sf).write.parquet(f"{root}/bronze_jobs")
-    sv.write.parquet(f"{root}/silver_jobs")
+
+    def stored(df, name):
+        df.write.option("compression", "zstd").parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    sv = stored(S.silver_jobs(stored(L.bronze(spark, sf), "bronze_jobs")), "silver_jobs")
     G.gold_country_trends(sv).write.parquet(f"{root}/gold_country_trends")
     tables = {n: f"{root}/{n}" for n in ("bronze_jobs", "bronze_jobs_dead_letter", "silver_jobs",
                                          "gold_country_trends")}
