@@ -32,6 +32,7 @@ BUCKETS = 1 << 16     # per n-gram length above 1 they share one hash space
 ALPHA = 0.5           # added to every count
 LANGS_MAX = 1000      # a column with more values is not a language label
 UNDETERMINED = "und"
+BLOCK_BYTES = C.BLOCK_BYTES // 8  # text at once: its n-grams take some 180 times that
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,7 @@ def _letters() -> np.ndarray:
 
 def _grams(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, end row, hashed n-grams, their rows, rows with a letter)."""
-    for lo, hi, buf, off in C.text_blocks(col, C.BLOCK_BYTES // 2):
+    for lo, hi, buf, off in C.text_blocks(col, BLOCK_BYTES):
         # byte offsets to code point offsets: continuation bytes begin none
         begins = (buf & 0xC0) != 0x80
         cut = np.concatenate([[0], np.cumsum(begins)])[off]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hirelake.llm import decontaminate, langid, lmscore, toxicity
@@ -44,6 +45,18 @@ def test_langid_nothing_learned_and_empty(spark):
     assert langid.predict(none, langid.fit(none), ["doc_id"]).collect() == []
 
 
+def test_langid_holds_small_blocks():
+    import tracemalloc
+
+    texts = pa.array(["some words of a text that is not long " * 50] * 1000)
+    langid._letters()
+    tracemalloc.start()
+    rows = sum(hi - lo for lo, hi, *_ in langid._grams(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1000 and peak < 40e6
+
+
 def test_langid_brute_force_counts(spark):
     """The posterior equals a plain-Python naive Bayes over the same n-grams."""
     d = docs(spark, [(1, "abra cadabra", "x"), (2, "cada día", "y"), (3, "zzz abra", "y")])
