@@ -62,23 +62,31 @@ def salary_is_hourly(text: Column) -> Column:
 _AMOUNT = r"(?U)\d{1,3}(?:,\d{3})*\s*[kK]?"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)``, the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def salary_values(text: Column, hourly: Column | None = None) -> Column:
     """SIL5 core: scaled, range-filtered numbers found in ``text`` (array<double>).
 
     One regex pass; k-suffix x1000, hourly values below 1000 x2000, then only
     10,000..1,000,000 are kept.
     """
-    # Pass ``hourly`` as a column when staging: inside the lambda an
-    # expression would be re-evaluated (interpreted) for every number found.
+    # Asked once per text that has a value below 1000, not once per such value:
+    # a projection of its own would be folded back into the lambda.
     hourly = salary_is_hourly(text) if hourly is None else hourly
 
     def scale(amount: Column) -> Column:
         base = F.translate(amount, ",kK" + PY_WHITESPACE, "").cast("double")
-        with_k = F.when(F.lower(F.substring(amount, -1, 1)) == "k", base * 1000.0).otherwise(base)
-        return F.when((with_k < 1000.0) & hourly, with_k * fixed.HOURLY_FACTOR).otherwise(with_k)
+        return F.when(F.lower(F.substring(amount, -1, 1)) == "k", base * 1000.0).otherwise(base)
+
+    def yearly(values: Column) -> Column:
+        return F.when(F.exists(values, lambda v: v < 1000.0) & hourly, F.transform(
+            values, lambda v: F.when(v < 1000.0, v * fixed.HOURLY_FACTOR).otherwise(v))).otherwise(values)
 
     return F.filter(
-        F.transform(F.regexp_extract_all(text, F.lit(_AMOUNT), 0), scale),
+        _let(F.transform(F.regexp_extract_all(text, F.lit(_AMOUNT), 0), scale), yearly),
         lambda v: (v >= fixed.SALARY_MIN_VALID) & (v <= fixed.SALARY_MAX_VALID),
     )
 
@@ -93,11 +101,6 @@ def salary_from_values(values: Column, text: Column) -> Column:
     )
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)``, the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def parse_salary(salary: Column, description: Column) -> Column:
     """SIL5 as one expression (for ad-hoc use; ``silver_jobs`` stages it)."""
     return _let(salary_text(salary, description), lambda text: _let(salary_is_hourly(text), lambda hourly: _let(

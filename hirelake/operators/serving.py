@@ -141,16 +141,22 @@ def _salary_agg(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _with_salary(silver: DataFrame) -> DataFrame:
-    return silver.filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
+def _paid(silver: DataFrame, *keys: str) -> DataFrame:
+    """``keys`` and the salary columns.  These are generated, so that a filter on them
+    stays above: pushed down, it would read every text again for each column it names."""
+    return silver.select(*keys, F.inline(F.array(F.struct("salary_min", "salary_max", "salary_currency"))))
+
+
+def _with_salary(silver: DataFrame, *keys: str) -> DataFrame:
+    return _paid(silver, *keys).filter(F.col("salary_min").isNotNull() & F.col("salary_max").isNotNull())
 
 
 def salary_by(silver: DataFrame, key: str, currency: str = "USD", limit: int = 20,
               exclude: list[str] | None = None) -> DataFrame:
     """AGG7/AGG8: salary statistics per key in one currency, best paid first."""
-    df = _with_salary(silver).filter(F.col("salary_currency") == currency)
     if exclude:
-        df = df.filter(~F.col(key).isin(*exclude))
+        silver = silver.filter(~F.col(key).isin(*exclude))
+    df = _with_salary(silver, key).filter(F.col("salary_currency") == currency)
     agg = _salary_agg(df, key).orderBy(F.desc("avg_salary"), F.asc(key)).limit(limit)
     return agg.select(
         key,
@@ -173,15 +179,15 @@ def salary_by_country(silver: DataFrame, currency: str = "USD", limit: int = 20)
 def salary_currencies(silver: DataFrame) -> DataFrame:
     """AGG9: currencies that have a parsed salary."""
     return (
-        silver.filter(F.col("salary_currency").isNotNull() & F.col("salary_min").isNotNull()
-                      & (F.col("salary_currency") != ""))
+        _paid(silver).filter(F.col("salary_currency").isNotNull() & F.col("salary_min").isNotNull()
+                             & (F.col("salary_currency") != ""))
         .select("salary_currency").distinct().orderBy("salary_currency")
     )
 
 
 def salary_all(silver: DataFrame, key: str) -> DataFrame:
     """AGG12/AGG13: offline flavour - every currency mixed, no limit, no rounding."""
-    return _salary_agg(_with_salary(silver), key).orderBy(F.desc("avg_salary"), F.asc(key))
+    return _salary_agg(_with_salary(silver, key), key).orderBy(F.desc("avg_salary"), F.asc(key))
 
 
 # --- stats --------------------------------------------------------------------

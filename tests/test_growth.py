@@ -8,6 +8,8 @@ import os
 from pyspark.sql import functions as F
 
 from hirelake.functions import enrich
+from hirelake.operators import serving as SV
+from hirelake.operators import silver as S
 from hirelake.operators import validate as V
 from hirelake.plans import jobs as J
 from hirelake.plans import manifest as M
@@ -86,3 +88,20 @@ def test_first_of_a_key_reads_only_what_is_asked_for(spark):
     first = LD.first_wins(df, "k", ["at"])
     assert {tuple(r) for r in first.collect()} == {(1, "b", "longer", 1), (2, None, "x", 1)}
     assert "wide" not in first.select("k", "v")._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+
+
+def test_salary_queries_read_each_text_once(spark):
+    rows = [(1, "a", "France", "$120k", None), (2, "b", "France", None, "pays $45 to 60 /hr"), (3, "c", "Remote", "€90k", None),
+            (4, "d", "Spain", None, "no figure")]
+    bronze = spark.createDataFrame(rows, "id long, title string, candidate_required_location string, salary string, description string")
+    for c in ("source", "company_name", "category"):
+        bronze = bronze.withColumn(c, F.lit("x"))
+    bronze = bronze.withColumn("tags", F.array(F.lit("t"))).withColumn("publication_date", F.lit("2020-01-02").cast("timestamp"))
+    bronze = bronze.localCheckpoint()
+    sv = S.silver_jobs(bronze)
+    for df in (SV.salary_by_country(sv), SV.salary_by_role(sv), SV.salary_all(sv, "country"), SV.salary_currencies(sv)):
+        assert _plan(df).count("regexp_extract_all") == 1
+    assert [tuple(r)[:5] for r in SV.salary_by_country(sv).collect()] == [("France", 112500.0, 90000.0, 120000.0, 2)]
+    assert [tuple(r) for r in SV.salary_all(sv, "country").collect()] == [
+        ("France", 112500.0, 90000.0, 120000.0, 2), ("Remote", 90000.0, 90000.0, 90000.0, 1)]
+    assert [r[0] for r in SV.salary_currencies(sv).collect()] == ["EUR", "USD"]
