@@ -105,3 +105,20 @@ def test_salary_queries_read_each_text_once(spark):
     assert [tuple(r) for r in SV.salary_all(sv, "country").collect()] == [
         ("France", 112500.0, 90000.0, 120000.0, 2), ("Remote", 90000.0, 90000.0, 90000.0, 1)]
     assert [r[0] for r in SV.salary_currencies(sv).collect()] == ["EUR", "USD"]
+
+
+def test_descriptions_are_joined_after_postings_are_dealt(spark):
+    full = _raw(spark, 250).withColumn("description", F.concat(F.lit("text "), "_pos"))
+    texts = full.select("_pos", "description")
+    narrow = full.withColumn("description", F.lit(None).cast("string"))
+    describe = lambda df: df.drop("description").join(F.broadcast(texts), "_pos", "left").select(*df.columns)
+    dealt = LG._dealt(narrow.withColumn("page", LG._page(narrow, 100)), describe, "page")
+    plan = _plan(dealt.groupBy("page").agg(F.collect_list("description")))
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+    got = []
+    for raw, late in ((full, None), (narrow, describe)):
+        csv, pages = scratch_path(spark, "late-csv"), scratch_path(spark, "late-jsearch")
+        LG.land_csv(raw, csv, late)
+        read = LD.norm_jsearch(spark, LG.land_jsearch(raw, pages, describe=late))
+        got.append([sorted(map(str, df.drop("_file", "_line", "_idx").collect())) for df in (LD.src_csv(spark, csv), read)])
+    assert got[0] == got[1] and len(got[0][0]) == 249
